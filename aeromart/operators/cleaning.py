@@ -3,7 +3,7 @@
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed import API_READINGS, CSV_HEADERS, DIM_SCHEMA, FACT_SCHEMA, STALE_HOURS
@@ -52,10 +52,18 @@ def rename_headers(df: DataFrame, mapping=CSV_HEADERS) -> DataFrame:
     return tidy.withColumnsRenamed(mapping)
 
 
-def require_not_null(df: DataFrame, cols=("measured_at", "aqi", "dominant_pollutant")) -> DataFrame:
+REQUIRED = ("measured_at", "aqi", "dominant_pollutant")
+
+
+def require_not_null(df: DataFrame, cols=REQUIRED) -> DataFrame:
     return df.dropna(subset=list(cols))
 
 
+def complete(cols=REQUIRED) -> Column:
+    """The condition of `require_not_null`."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+
+
 def stale_threshold(as_of: datetime, hours: float = STALE_HOURS) -> datetime:
     """Whole-second instant `hours` before `as_of`; a time without a zone is UTC."""
     if as_of.tzinfo is None:
@@ -67,7 +75,12 @@ def drop_stale(
     df: DataFrame, as_of: datetime, hours: float = STALE_HOURS, col: str = "measured_at"
 ) -> DataFrame:
     """Keep readings no older than `hours` at `as_of`; one exactly that old is kept."""
-    return df.filter(F.col(col) >= F.lit(stale_threshold(as_of, hours)))
+    return df.filter(recent(as_of, hours, col))
+
+
+def recent(as_of: datetime, hours: float = STALE_HOURS, col: str = "measured_at") -> Column:
+    """The condition of `drop_stale`."""
+    return F.col(col) >= F.lit(stale_threshold(as_of, hours))
 
 
 def _first_per_key(df: DataFrame, keys, order) -> DataFrame:
@@ -135,12 +148,27 @@ def select_dim(df: DataFrame) -> DataFrame:
     return df.select(*DIM_SCHEMA.fieldNames())
 
 
-def latest_dim(df: DataFrame) -> DataFrame:
-    """One dimension row per station, from its latest reading.
+def sightings(df: DataFrame) -> DataFrame:
+    """Distinct station attributes, with the latest instant and the rows they came with.
 
-    Stations are few and their attributes rarely change, so the rows are first grouped by all
-    of them, which collapses the input before anything is shuffled or sorted.
+    Stations are few and their attributes rarely change, so grouping by all of them collapses
+    the input before anything is shuffled or sorted.
     """
-    names = DIM_SCHEMA.fieldNames()
-    seen = df.groupBy(*names).agg(F.max("measured_at").alias("_seen"))
-    return select_dim(distinct_by(seen, ["waqi_idx"], order="_seen"))
+    return _seen(
+        df, F.count("*").alias("rows"), F.count_if(complete()).alias("complete_rows")
+    )
+
+
+def _seen(df: DataFrame, *counts) -> DataFrame:
+    return df.groupBy(*DIM_SCHEMA.fieldNames()).agg(F.max("measured_at").alias("seen"), *counts)
+
+
+def latest_dim(df: DataFrame) -> DataFrame:
+    """One dimension row per station, from its latest reading."""
+    return latest_of(_seen(df))
+
+
+def latest_of(seen: DataFrame) -> DataFrame:
+    """The dimension out of `sightings`."""
+    attributes = seen.select(*DIM_SCHEMA.fieldNames(), "seen")
+    return select_dim(distinct_by(attributes, ["waqi_idx"], order="seen"))

@@ -5,7 +5,8 @@ splits where one partition is large and merges where many are small: neither one
 partition nor thousands of small files.
 """
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..fixed import (
@@ -49,14 +50,22 @@ def touched_partitions(df: DataFrame, cols) -> list | None:
     return [tuple(r) for r in listed] if len(listed) <= MAX_LISTED_PARTITIONS else None
 
 
+def _is_one_of(cols, values) -> Column:
+    """Text columns equal to one of the listed rows, as one IN over their joined text."""
+    return F.concat_ws("/", *cols).isin(["/".join(row) for row in values])
+
+
 def in_partitions(df: DataFrame, cols, values) -> DataFrame:
     """Rows in the listed partitions, as a filter that prunes folders; None keeps all."""
-    if values is None:
-        return df
-    if not values:
-        return df.filter(F.lit(False))
-    wanted = F.array(*[F.struct(*[F.lit(v) for v in row]) for row in values])
-    return df.filter(F.array_contains(wanted, F.struct(*[F.col(c) for c in cols])))
+    return df if values is None else df.filter(_is_one_of(cols, values))
+
+
+def _observed_rows(counted: Observation) -> int:
+    """Rows seen during a finished write; 0 if AQE found it empty and left the counting out."""
+    try:
+        return counted.get["rows"]
+    except Py4JJavaError:
+        return 0
 
 
 def insert_new(
@@ -82,7 +91,7 @@ def insert_new(
     counted = Observation()
     fresh = new_only(batch, target, keys).observe(counted, F.count(F.lit(1)).alias("rows"))
     _save(fresh, path, "append", partition_cols, table)
-    return counted.get["rows"]
+    return _observed_rows(counted)
 
 
 def write_fact(df: DataFrame, path: str, table: str | None = None) -> int:
@@ -137,9 +146,7 @@ def write_ranking(df: DataFrame, path: str, months=None, table: str | None = Non
     """
     if months is not None:
         held = read_ranking(df.sparkSession, path, missing_ok=True)
-        months_of = F.struct("year", "month")
-        listed = F.array(*[F.struct(F.lit(y), F.lit(m)) for y, m in months])
-        kept = held.filter(~F.array_contains(listed, months_of)) if months else held
+        kept = held.filter(~_is_one_of(MONTH_PARTITIONS, months))
         df = cut_lineage(kept.unionByName(df.select(*RANKING_SCHEMA.fieldNames())))
     _save(df, path, "overwrite", table=table)
 

@@ -6,17 +6,22 @@ since both tables are written insert-only by key, running it again adds nothing
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed import CITY_KEYWORDS, RUN_SCHEMA, STALE_HOURS
 from ..operators.cleaning import (
+    complete,
     dedup_latest,
     flatten_api,
     latest_dim,
+    latest_of,
+    recent,
+    require_not_null,
     select_fact,
+    sightings,
 )
-from ..plans.silver import csv_to_silver, fresh_readings, iso_stamp
+from ..plans.silver import clean_csv, iso_stamp
 from ..sources.readers import stream_api_bronze, stream_csv_bronze
 from ..sources.writers import write_dim, write_fact
 
@@ -44,10 +49,6 @@ def _run(stream: DataFrame, checkpoint: str, batch_job) -> None:
     query.awaitTermination()
 
 
-def _rows() -> "F.Column":
-    return F.count(F.lit(1)).alias("rows")
-
-
 def run_incremental(
     spark: SparkSession,
     src: str,
@@ -69,20 +70,21 @@ def run_incremental(
     totals = _Totals()
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        seen, kept = Observation(), Observation()
-        flat = flatten_api(batch, stamp).observe(seen, _rows())
-        fresh = fresh_readings(flat, as_of, hours).observe(kept, _rows())
-        # Read by both writes; a lost block is computed again from the same files.
-        readings = dedup_latest(fresh).persist()
+        # Kept for the counts and both writes; a lost block is computed again from its files.
+        flat = flatten_api(batch, stamp).persist()
         try:
-            stations = write_dim(latest_dim(readings), dim_path)
-            rows = write_fact(select_fact(readings), fact_path)
+            fresh = complete() & recent(as_of, hours)
+            counts = flat.agg(
+                F.count("*").alias("raw"), F.count_if(fresh).alias("fresh")
+            ).first()
+            totals.raw += counts["raw"]
+            totals.fresh += counts["fresh"]
+            if counts["fresh"]:
+                readings = dedup_latest(flat.filter(fresh))
+                totals.stations += write_dim(latest_dim(readings), dim_path)
+                totals.rows += write_fact(select_fact(readings), fact_path)
         finally:
-            readings.unpersist()
-        totals.raw += seen.get["rows"]
-        totals.fresh += kept.get["rows"]
-        totals.stations += stations
-        totals.rows += rows
+            flat.unpersist()
 
     _run(stream_api_bronze(spark, src, multi_line, max_files), checkpoint, load)
     return totals.as_frame(
@@ -102,22 +104,29 @@ def load_csv_once(
 ) -> DataFrame:
     """Load the historical CSV files; a file that was loaded before is never read again.
 
-    The batch is not kept in memory: the dimension and the fact table each read the columns
-    they need from the files.
+    The files are read twice, once for the distinct station attributes and the counts, once for
+    the readings; only the former, which are few, are kept in memory.
     """
     as_of = as_of or datetime.now(timezone.utc)
     stamp = iso_stamp(as_of)
     totals = _Totals()
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        seen, kept = Observation(), Observation()
-        counted = batch.observe(seen, _rows())
-        _, dim = csv_to_silver(counted, stamp, mapping)
-        fact, _ = csv_to_silver(batch, stamp, mapping)
-        totals.stations += write_dim(dim, dim_path)
-        totals.rows += write_fact(fact.observe(kept, _rows()), fact_path)
-        totals.raw += seen.get["rows"]
-        totals.fresh += kept.get["rows"]
+        clean = clean_csv(batch, stamp, mapping)
+        stations = sightings(clean).persist()
+        try:
+            counts = stations.agg(
+                F.coalesce(F.sum("rows"), F.lit(0)).alias("raw"),
+                F.coalesce(F.sum("complete_rows"), F.lit(0)).alias("fresh"),
+            ).first()
+            totals.raw += counts["raw"]
+            totals.fresh += counts["fresh"]
+            totals.stations += write_dim(latest_of(stations), dim_path)
+        finally:
+            stations.unpersist()
+        if counts["fresh"]:
+            readings = dedup_latest(require_not_null(clean))
+            totals.rows += write_fact(select_fact(readings), fact_path)
 
     _run(stream_csv_bronze(spark, src, max_files), checkpoint, load)
     return totals.as_frame(spark, stamp, "already loaded", "no valid records")
