@@ -27,7 +27,15 @@ def ingest_outcomes(responses: DataFrame) -> DataFrame:
     `api_status`: not JSON, or a status other than ok. `unknown`: ok, but without a `data`
     or a `data.time` object. Otherwise `success`, with the station, reading and storage key.
     """
-    parsed = normalise_slugs(responses).withColumn("_doc", F.try_parse_json("body"))
+    # The document is parsed inside the generator: what a generator yields is never inlined
+    # into the many expressions over it, so a body is parsed once.
+    body = F.try_parse_json("body")
+    pairs = F.transform(
+        parse_slug_list(F.col("city")), lambda slug: F.struct(slug.alias("city"), body.alias("doc"))
+    )
+    parsed = responses.withColumn("_pair", F.explode(pairs)).withColumns(
+        {"city": F.col("_pair.city"), "_doc": F.col("_pair.doc")}
+    )
     doc = F.col("_doc")
     status = F.try_variant_get(doc, "$.status", "string")
     outcome = (

@@ -22,6 +22,7 @@ from ..operators.cleaning import (
     sightings,
 )
 from ..plans.silver import clean_csv, iso_stamp
+from ..session import cut_lineage
 from ..sources.readers import stream_api_bronze, stream_csv_bronze
 from ..sources.writers import write_dim, write_fact
 
@@ -104,8 +105,8 @@ def load_csv_once(
 ) -> DataFrame:
     """Load the historical CSV files; a file that was loaded before is never read again.
 
-    The files are read twice, once for the distinct station attributes and the counts, once for
-    the readings; only the former, which are few, are kept in memory.
+    The files are read twice: once for the distinct station attributes and the counts, which are
+    few and kept in memory, and once for the readings, which are checkpointed.
     """
     as_of = as_of or datetime.now(timezone.utc)
     stamp = iso_stamp(as_of)
@@ -125,8 +126,9 @@ def load_csv_once(
         finally:
             stations.unpersist()
         if counts["fresh"]:
-            readings = dedup_latest(require_not_null(clean))
-            totals.rows += write_fact(select_fact(readings), fact_path)
+            # The insert reads its batch several times: once for the months, twice for the keys.
+            readings = cut_lineage(select_fact(dedup_latest(require_not_null(clean))))
+            totals.rows += write_fact(readings, fact_path)
 
     _run(stream_csv_bronze(spark, src, max_files), checkpoint, load)
     return totals.as_frame(spark, stamp, "already loaded", "no valid records")
