@@ -1,11 +1,18 @@
 """Instants and calendar parts. Days are those of the session time zone unless `tz` is given."""
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..fixed import CSV_TIME_FORMAT
 
 
+def as_utc(at: datetime) -> datetime:
+    """The instant in UTC; a time without a zone already is."""
+    return at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+
+
 def parse_iso(col: Column) -> Column:
     """ISO-8601 text with an offset to an instant; bad text is NULL."""
     return F.try_to_timestamp(col)

@@ -1,6 +1,6 @@
 """From raw rows to fact and dimension rows."""
 
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..fixed import API_READINGS, CSV_HEADERS, DIM_SCHEMA, FACT_SCHEMA, STALE_HOURS
 from ..functions import parse_iso, resolve_choice, to_date, year_month
 from ..functions.numbers import field_type
+from ..functions.times import as_utc
 
 
 def ok_responses(df: DataFrame) -> DataFrame:
@@ -66,9 +67,7 @@ def complete(cols=REQUIRED) -> Column:
 
 def stale_threshold(as_of: datetime, hours: float = STALE_HOURS) -> datetime:
     """Whole-second instant `hours` before `as_of`; a time without a zone is UTC."""
-    if as_of.tzinfo is None:
-        as_of = as_of.replace(tzinfo=timezone.utc)
-    return (as_of - timedelta(hours=hours)).replace(microsecond=0)
+    return (as_utc(as_of) - timedelta(hours=hours)).replace(microsecond=0)
 
 
 def drop_stale(

@@ -1,12 +1,13 @@
 """Silver to gold: the daily, ranking and station tables."""
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed import DAILY_SCHEMA, MONTH_PARTITIONS, RANKING_SCHEMA, STATION_SCHEMA
 from ..functions import aqi_band
+from ..functions.times import as_utc
 from ..operators.cleaning import with_year_month
 from ..operators.summaries import (
     MONTHLY_KEYS,
@@ -27,10 +28,11 @@ from ..sources.writers import (
     write_ranking,
     write_station_summary,
 )
+from .silver import iso_stamp
 
 
 def _stamp(at: datetime | None) -> Column:
-    return (F.current_timestamp() if at is None else F.lit(at)).alias("_aggregated_at")
+    return (F.current_timestamp() if at is None else F.lit(as_utc(at))).alias("_aggregated_at")
 
 
 def daily_summary(
@@ -82,16 +84,16 @@ def station_summary(
 def months_to_refresh(spark: SparkSession, fact: DataFrame, ranking_path: str) -> list | None:
     """Months with readings taken in since the last refresh ended; None for all months.
 
-    The ranking is written last, so its newest stamp is that of a complete refresh.
+    The ranking is written last, so its newest stamp is that of a complete refresh, which has
+    covered all loads stamped no later. Loads and refreshes must run one after another.
     `ingested_at` grows with every append, so Parquet statistics skip the older files.
     """
     built = read_ranking(spark, ranking_path, missing_ok=True)
-    since = built.agg(
-        F.date_format(F.max("_aggregated_at"), "yyyy-MM-dd'T'HH:mm:ss").alias("at")
-    ).first()["at"]
-    if since is None:
+    micros = built.agg(F.unix_micros(F.max("_aggregated_at")).alias("at")).first()["at"]
+    if micros is None:
         return None
-    return touched_partitions(fact.filter(F.col("ingested_at") >= since), MONTH_PARTITIONS)
+    since = datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=micros)
+    return touched_partitions(fact.filter(F.col("ingested_at") > iso_stamp(since)), MONTH_PARTITIONS)
 
 
 def refresh_gold(

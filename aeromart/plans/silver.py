@@ -15,6 +15,7 @@ from ..functions import (
     strip_thousands,
 )
 from ..functions.numbers import resolve_choice
+from ..functions.times import as_utc
 from ..operators.cleaning import (
     dedup_latest,
     drop_stale,
@@ -27,7 +28,8 @@ from ..operators.cleaning import (
 
 
 def iso_stamp(as_of: datetime) -> str:
-    return as_of.isoformat()
+    """ISO text in UTC, so that stamps sort as text."""
+    return as_utc(as_of).isoformat()
 
 
 def clean_csv(

@@ -175,4 +175,4 @@ def land_bronze(responses: DataFrame, path: str, meta_path: str | None = None) -
         *BRONZE_PARTITIONS
     ).text(path)
     beside = meta_path or path.rstrip("/") + "_metadata"
-    _save(kept.drop("body"), beside, "append", BRONZE_PARTITIONS)
+    _save(kept.drop("body"), beside, "append", MONTH_PARTITIONS)

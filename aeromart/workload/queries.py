@@ -524,7 +524,10 @@ def csv_load_once(spark, sf_dir):
 
 
 def _gold(spark, sf_dir):
-    """Silver tables, a full refresh of gold, then a refresh of the months that changed."""
+    """Silver tables, a full refresh of gold, then a refresh of the months that changed.
+
+    The readings of the second load carry the stamp of that load.
+    """
     root = shared_folder(spark, "lake")
     silver_fact, silver_dim, gold = f"{root}/fact_aqi", f"{root}/dim_station", f"{root}/gold"
     fact = op.dedup_latest(ad.fact_from_lineitem(spark, sf_dir))
