@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed import DAY_COUNTS
-from ..functions import count_where, distinct_count, mean2, most_frequent
+from ..functions import count_where, mean2, most_frequent
 from ..functions.aggregates import round2
-from ..session import cut_lineage
 from .cleaning import distinct_by, with_date
 
 DAILY_KEYS = ("queried_city", "date")
@@ -84,27 +83,27 @@ def station_counts(df: DataFrame, keys) -> DataFrame:
     )
 
 
+def _with_stations(metrics: DataFrame, dated: DataFrame) -> DataFrame:
+    return _same_key(metrics, station_counts(dated, DAILY_KEYS), DAILY_KEYS, "left")
+
+
 def daily_metrics(fact: DataFrame, tz: str | None = None) -> DataFrame:
     """City and day: rounded means, extremes, distinct stations, rows."""
-    return (
-        with_date(fact, tz=tz)
-        .groupBy(*DAILY_KEYS)
-        .agg(
-            mean2("aqi").alias("avg_aqi"),
-            F.max("aqi").alias("max_aqi"),
-            F.min("aqi").alias("min_aqi"),
-            *[mean2(m).alias(f"avg_{m}") for m in MEASURES if m != "aqi"],
-            distinct_count("waqi_idx").alias("station_count"),
-            F.count("*").alias("record_count"),
-        )
+    dated = with_date(fact, tz=tz)
+    metrics = dated.groupBy(*DAILY_KEYS).agg(
+        mean2("aqi").alias("avg_aqi"),
+        F.max("aqi").alias("max_aqi"),
+        F.min("aqi").alias("min_aqi"),
+        *[mean2(m).alias(f"avg_{m}") for m in MEASURES if m != "aqi"],
+        F.count("*").alias("record_count"),
     )
+    return _with_stations(metrics, dated)
 
 
 def daily_with_mode(fact: DataFrame, tz: str | None = None) -> DataFrame:
     """`daily_metrics` and the most frequent pollutant of each city and day."""
     dated = with_date(fact, tz=tz)
-    metrics = metrics_by(dated, DAILY_KEYS)
-    return _same_key(metrics, station_counts(dated, DAILY_KEYS), DAILY_KEYS, "left")
+    return _with_stations(metrics_by(dated, DAILY_KEYS), dated)
 
 
 def mode_per_group(df: DataFrame, keys, col: str = "dominant_pollutant") -> DataFrame:

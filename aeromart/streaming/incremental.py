@@ -71,20 +71,20 @@ def run_incremental(
     totals = _Totals()
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        # Kept for the counts and both writes; a lost block is computed again from its files.
+        # Kept for the counts and the writes, which read them several times; a lost block is
+        # computed again from its files.
         flat = flatten_api(batch, stamp).persist()
+        fresh = complete() & recent(as_of, hours)
+        readings = dedup_latest(flat.filter(fresh)).persist()
         try:
-            fresh = complete() & recent(as_of, hours)
-            counts = flat.agg(
-                F.count("*").alias("raw"), F.count_if(fresh).alias("fresh")
-            ).first()
+            counts = flat.agg(F.count("*").alias("raw"), F.count_if(fresh).alias("fresh")).first()
             totals.raw += counts["raw"]
             totals.fresh += counts["fresh"]
             if counts["fresh"]:
-                readings = dedup_latest(flat.filter(fresh))
                 totals.stations += write_dim(latest_dim(readings), dim_path)
                 totals.rows += write_fact(select_fact(readings), fact_path)
         finally:
+            readings.unpersist()
             flat.unpersist()
 
     _run(stream_api_bronze(spark, src, multi_line, max_files), checkpoint, load)

@@ -55,10 +55,21 @@ def test_daily_summary(spark):
 
 def test_daily_summary_agrees_with_the_plain_aggregate(spark):
     fact = readings(spark, ROWS)
-    plain = am.daily_metrics(fact)
-    assert sorted(map(str, am.daily_summary(fact).select(*plain.columns).collect())) == sorted(
-        map(str, plain.collect())
+    plain = (
+        am.with_date(fact)
+        .groupBy("queried_city", "date")
+        .agg(
+            am.mean2("aqi").alias("avg_aqi"),
+            am.mean2("pm25").alias("avg_pm25"),
+            F.max("aqi").alias("max_aqi"),
+            F.min("aqi").alias("min_aqi"),
+            am.distinct_count("waqi_idx").alias("station_count"),
+            F.count("*").alias("record_count"),
+        )
     )
+    expected = sorted(map(str, plain.collect()))
+    for daily in (am.daily_summary(fact), am.daily_metrics(fact)):
+        assert sorted(map(str, daily.select(*plain.columns).collect())) == expected
 
 
 def test_month_counts_every_day_once(spark):
