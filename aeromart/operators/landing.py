@@ -1,4 +1,7 @@
-"""Raw API responses as a table: columns `city`, `body` and `ingested_at` (timestamp)."""
+"""Raw API responses as a table: columns `city`, `body` and `ingested_at` (timestamp).
+
+A request that got no answer has a NULL body.
+"""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +27,9 @@ def _text_or_na(document: Column, path: str) -> Column:
 def ingest_outcomes(responses: DataFrame) -> DataFrame:
     """Outcome of every response, one row each.
 
-    `api_status`: not JSON, or a status other than ok. `unknown`: ok, but without a `data`
-    or a `data.time` object. Otherwise `success`, with the station, reading and storage key.
+    `network`: no answer. `api_status`: not JSON, or a status other than ok. `unknown`: ok, but
+    without a `data` or a `data.time` object. Otherwise `success`, with the station, the reading
+    and the storage key.
     """
     # The document is parsed inside the generator: what a generator yields is never inlined
     # into the many expressions over it, so a body is parsed once.
@@ -39,7 +43,8 @@ def ingest_outcomes(responses: DataFrame) -> DataFrame:
     doc = F.col("_doc")
     status = F.try_variant_get(doc, "$.status", "string")
     outcome = (
-        F.when(doc.isNull(), "api_status")
+        F.when(F.col("body").isNull(), "network")
+        .when(doc.isNull(), "api_status")
         .when(~_is_object(doc, "$"), "unknown")
         .when(status.isNull() | (status != "ok"), "api_status")
         .when(~_is_object(doc, "$.data") | ~_is_object(doc, "$.data.time"), "unknown")
@@ -63,6 +68,7 @@ def ingest_outcomes(responses: DataFrame) -> DataFrame:
             F.col("outcome") == "api_status",
             F.concat(F.lit("status: "), F.coalesce(F.col("_status"), F.lit("none"))),
         )
+        .when(F.col("outcome") == "network", "no answer")
         .when(F.col("outcome") == "unknown", "no data.time")
         .alias("error"),
     )
@@ -83,6 +89,7 @@ def ingest_summary(responses: DataFrame) -> DataFrame:
             F.count("*").alias("cities"),
             count_where(outcome == "success").alias("success"),
             count_where(outcome != "success").alias("failed"),
+            count_where(outcome == "network").alias("failed_network"),
             count_where(outcome == "api_status").alias("failed_api_status"),
             count_where(outcome == "unknown").alias("failed_unknown"),
         )

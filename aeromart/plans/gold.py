@@ -1,6 +1,7 @@
 """Silver to gold: the daily, ranking and station tables."""
 
 from datetime import datetime, timedelta, timezone
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..operators.summaries import (
     rank_in_city,
     station_monthly,
 )
-from ..session import cut_lineage
+from ..session import cut_lineage, pin_utc
 from ..sources.readers import read_daily, read_dim, read_fact, read_ranking
 from ..sources.writers import (
     in_partitions,
@@ -81,6 +82,15 @@ def station_summary(
     )
 
 
+class Refresh(NamedTuple):
+    """Months rebuilt (None for all) and rows written per gold table."""
+
+    months: list | None
+    daily_rows: int
+    ranking_rows: int
+    station_rows: int
+
+
 def months_to_refresh(spark: SparkSession, fact: DataFrame, ranking_path: str) -> list | None:
     """Months with readings taken in since the last refresh ended; None for all months.
 
@@ -103,23 +113,26 @@ def refresh_gold(
     gold: str,
     as_of: datetime | None = None,
     full: bool = True,
-) -> list | None:
-    """Write the three gold tables under `gold`; returns the months rebuilt, None for all.
+) -> Refresh:
+    """Write the three gold tables under `gold`.
 
     All gold rows belong to one month. Without `full`, only the months with new readings are
     computed and replaced. The ranking reads the daily table just written.
     """
+    pin_utc(spark)
     fact, dim = read_fact(spark, fact_path), read_dim(spark, dim_path)
     daily_path, ranking_path = f"{gold}/gold_aqi_daily_summary", f"{gold}/gold_aqi_city_ranking"
     months = None if full else months_to_refresh(spark, fact, ranking_path)
     if months == []:
-        return months
+        return Refresh(months, 0, 0, 0)
     changed = months is not None
     part = in_partitions(fact, MONTH_PARTITIONS, months)
-    write_station_summary(
+    station_rows = write_station_summary(
         station_summary(part, dim, as_of), f"{gold}/gold_station_summary", dynamic=changed
     )
-    write_daily(daily_summary(part, aggregated_at=as_of), daily_path, dynamic=changed)
+    daily_rows = write_daily(
+        daily_summary(part, aggregated_at=as_of), daily_path, dynamic=changed
+    )
     daily = in_partitions(read_daily(spark, daily_path), MONTH_PARTITIONS, months)
-    write_ranking(city_ranking(daily, part, as_of), ranking_path, months=months)
-    return months
+    ranking_rows = write_ranking(city_ranking(daily, part, as_of), ranking_path, months=months)
+    return Refresh(months, daily_rows, ranking_rows, station_rows)

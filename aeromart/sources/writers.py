@@ -31,9 +31,24 @@ def _laid_out(df: DataFrame, partition_cols) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_cols])
 
 
-def _save(df: DataFrame, path: str, mode: str, partition_cols=(), table=None, dynamic=False):
-    """Snappy Parquet; with `table` it is also registered in the catalog under that name."""
-    writer = _laid_out(df, partition_cols).write.mode(mode).option("compression", "snappy")
+def _observed_rows(counted: Observation) -> int:
+    """Rows seen during a finished write; 0 if AQE found it empty and left the counting out."""
+    try:
+        return counted.get["rows"]
+    except Py4JJavaError:
+        return 0
+
+
+def _save(
+    df: DataFrame, path: str, mode: str, partition_cols=(), table=None, dynamic=False
+) -> int:
+    """Snappy Parquet; returns the rows written, counted by the write itself.
+
+    With `table` it is also registered in the catalog under that name.
+    """
+    counted = Observation()
+    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    writer = _laid_out(rows, partition_cols).write.mode(mode).option("compression", "snappy")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     if dynamic:
@@ -42,6 +57,7 @@ def _save(df: DataFrame, path: str, mode: str, partition_cols=(), table=None, dy
         writer.option("path", path).format("parquet").saveAsTable(table)
     else:
         writer.parquet(path)
+    return _observed_rows(counted)
 
 
 def touched_partitions(df: DataFrame, cols) -> list | None:
@@ -60,14 +76,6 @@ def in_partitions(df: DataFrame, cols, values) -> DataFrame:
     return df if values is None else df.filter(_is_one_of(cols, values))
 
 
-def _observed_rows(counted: Observation) -> int:
-    """Rows seen during a finished write; 0 if AQE found it empty and left the counting out."""
-    try:
-        return counted.get["rows"]
-    except Py4JJavaError:
-        return 0
-
-
 def insert_new(
     batch: DataFrame,
     path: str,
@@ -88,10 +96,7 @@ def insert_new(
     if prune_cols:
         touched = touched_partitions(batch, prune_cols)
         target = in_partitions(target, prune_cols, touched)
-    counted = Observation()
-    fresh = new_only(batch, target, keys).observe(counted, F.count(F.lit(1)).alias("rows"))
-    _save(fresh, path, "append", partition_cols, table)
-    return _observed_rows(counted)
+    return _save(new_only(batch, target, keys), path, "append", partition_cols, table)
 
 
 def write_fact(df: DataFrame, path: str, table: str | None = None) -> int:
@@ -111,34 +116,31 @@ def write_fact(df: DataFrame, path: str, table: str | None = None) -> int:
     )
 
 
-def write_dim(
-    df: DataFrame, path: str, replace: bool = False, table: str | None = None
-) -> int | None:
+def write_dim(df: DataFrame, path: str, replace: bool = False, table: str | None = None) -> int:
     """Append stations that are not in the dimension yet; a known station keeps its row.
 
     `replace` overwrites the dimension instead, and must not read from it.
     """
     if replace:
-        _save(df, path, "overwrite", table=table)
-        return None
+        return _save(df, path, "overwrite", table=table)
     return insert_new(df, path, ("waqi_idx",), schema=DIM_SCHEMA, table=table)
 
 
 def write_daily(
     df: DataFrame, path: str, dynamic: bool = False, table: str | None = None
-) -> None:
+) -> int:
     """Replace the daily table; with `dynamic`, only the months that `df` holds."""
-    _save(df, path, "overwrite", MONTH_PARTITIONS, table, dynamic)
+    return _save(df, path, "overwrite", MONTH_PARTITIONS, table, dynamic)
 
 
 def write_station_summary(
     df: DataFrame, path: str, dynamic: bool = False, table: str | None = None
-) -> None:
+) -> int:
     """Replace the station table; with `dynamic`, only the months that `df` holds."""
-    _save(df, path, "overwrite", MONTH_PARTITIONS, table, dynamic)
+    return _save(df, path, "overwrite", MONTH_PARTITIONS, table, dynamic)
 
 
-def write_ranking(df: DataFrame, path: str, months=None, table: str | None = None) -> None:
+def write_ranking(df: DataFrame, path: str, months=None, table: str | None = None) -> int:
     """Replace the unpartitioned ranking table.
 
     With `months` (year and month pairs), `df` holds those months only: the rows of the other
@@ -148,15 +150,15 @@ def write_ranking(df: DataFrame, path: str, months=None, table: str | None = Non
         held = read_ranking(df.sparkSession, path, missing_ok=True)
         kept = held.filter(~_is_one_of(MONTH_PARTITIONS, months))
         df = cut_lineage(kept.unionByName(df.select(*RANKING_SCHEMA.fieldNames())))
-    _save(df, path, "overwrite", table=table)
+    return _save(df, path, "overwrite", table=table)
 
 
-def land_bronze(responses: DataFrame, path: str, meta_path: str | None = None) -> None:
+def land_bronze(responses: DataFrame, path: str, meta_path: str | None = None) -> int:
     """Keep the successful raw responses under `queried_city=/year=/month=/day=` folders.
 
     A body is stored as it is, except that line breaks between its tokens become blanks: Spark
     puts many documents in one file, one per line. When it came and from where is kept beside
-    it, in a Parquet table at `meta_path`, not in the document.
+    it, in a Parquet table at `meta_path`, not in the document. Returns how many were kept.
     """
     at = F.col("ingested_at")
     kept = landable(responses).select(
@@ -175,4 +177,4 @@ def land_bronze(responses: DataFrame, path: str, meta_path: str | None = None) -
         *BRONZE_PARTITIONS
     ).text(path)
     beside = meta_path or path.rstrip("/") + "_metadata"
-    _save(kept.drop("body"), beside, "append", MONTH_PARTITIONS)
+    return _save(kept.drop("body"), beside, "append", MONTH_PARTITIONS)

@@ -51,11 +51,15 @@ def run_pipeline(
         ).first()
     else:
         verdict = dq_summary(dq_check(fact, dim, as_of, **checks)).first()
-    if verdict["quality_passed"]:
-        refresh_gold(spark, fact_path, dim_path, gold, as_of, full)
-    outcome = "gold refreshed" if verdict["quality_passed"] else "stopped: checks failed"
+    passed = verdict["quality_passed"]
+    done = refresh_gold(spark, fact_path, dim_path, gold, as_of, full) if passed else None
     return load.withColumnsRenamed({"status": "load_status", "reason": "load_reason"}).select(
         "*",
-        *[F.lit(verdict[c]).alias(c) for c in ("quality_passed", "checks_passed", "checks_total")],
-        F.lit(outcome).alias("outcome"),
+        F.lit(passed).alias("quality_passed"),
+        *[F.lit(verdict[c]).cast("bigint").alias(c) for c in ("checks_passed", "checks_total")],
+        F.lit("gold refreshed" if passed else "stopped: checks failed").alias("outcome"),
+        *[
+            F.lit(getattr(done, name) if done else 0).cast("bigint").alias(name)
+            for name in ("daily_rows", "ranking_rows", "station_rows")
+        ],
     )

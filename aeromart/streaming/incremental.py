@@ -22,7 +22,7 @@ from ..operators.cleaning import (
     sightings,
 )
 from ..plans.silver import clean_csv, iso_stamp
-from ..session import cut_lineage
+from ..session import cut_lineage, pin_utc
 from ..sources.readers import stream_api_bronze, stream_csv_bronze
 from ..sources.writers import write_dim, write_fact
 
@@ -66,6 +66,7 @@ def run_incremental(
     The status is SKIPPED when there was nothing new or nothing fresh, else LOADED.
     `max_files` splits a large backlog into micro-batches of that many files.
     """
+    pin_utc(spark)
     as_of = as_of or datetime.now(timezone.utc)
     stamp = iso_stamp(as_of)
     totals = _Totals()
@@ -108,6 +109,7 @@ def load_csv_once(
     The files are read twice: once for the distinct station attributes and the counts, which are
     few and kept in memory, and once for the readings, which are checkpointed.
     """
+    pin_utc(spark)
     as_of = as_of or datetime.now(timezone.utc)
     stamp = iso_stamp(as_of)
     totals = _Totals()

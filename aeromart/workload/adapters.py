@@ -155,7 +155,7 @@ def sightings_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def responses_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw API responses: indented JSON with the faults that the real feed shows.
 
-    Errors instead of data, bodies that are not JSON, a missing time, a dash for the AQI of an
+    No answer, errors instead of data, bodies that are not JSON, a missing time, a dash for the AQI of an
     offline station, half a position, and readings that are whole, fractional or absent.
     """
     value, k, kind = F.col("value"), F.col("k"), F.col("event_type")
@@ -189,6 +189,7 @@ def responses_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     body = (
         F.when(kind == "error", '{"status": "error", "data": "Unknown station"}')
+        .when(value > 250, None)
         .when(value > 150, "<html>busy</html>")
         .otherwise(document)
     )

@@ -220,7 +220,8 @@ RESPONSES = (
     + """,
 responses AS (
   SELECT *, lower(replace(queried_city, ' ', '-')) AS city,
-         CASE WHEN event_type = 'error' OR value > 150 THEN 'api_status'
+         CASE WHEN event_type <> 'error' AND value > 250 THEN 'network'
+              WHEN event_type = 'error' OR value > 150 THEN 'api_status'
               WHEN k = 0 THEN 'unknown' ELSE 'success' END AS outcome
   FROM placed
 )"""
@@ -246,11 +247,11 @@ flat AS (
          CASE WHEN event_type <> 'click' THEN CAST(k + 1 AS DOUBLE) END AS humidity,
          {_ABSENT} AS temperature, CAST(1013 AS DOUBLE) AS pressure, {_ABSENT} AS wind,
          'api' AS source, '{STAMP}' AS ingested_at, arrived, outcome
-  FROM responses WHERE outcome <> 'api_status'
+  FROM responses WHERE outcome NOT IN ('network', 'api_status')
   UNION ALL
   SELECT NULL, NULL, NULL, NULL, NULL, city, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
          NULL, NULL, NULL, NULL, NULL, 'api', '{STAMP}', arrived, outcome
-  FROM responses WHERE outcome = 'api_status'
+  FROM responses WHERE outcome IN ('network', 'api_status')
 )"""
 )
 
@@ -575,7 +576,7 @@ FROM events""",
     "ok_responses": _with(
         RESPONSES,
         "SELECT city AS queried_city, CAST(user_id AS INTEGER) AS idx, FALSE AS no_aqi "
-        "FROM responses WHERE outcome <> 'api_status'",
+        "FROM responses WHERE outcome NOT IN ('network', 'api_status')",
     ),
     "api_to_silver_fact": _with(
         FLAT, FRESH, READINGS, f"SELECT {_FACT_SELECT} FROM readings"
@@ -650,7 +651,7 @@ SELECT city, arrived AS ingested_at, strftime(arrived, '%Y%m%d_%H%M%S') AS inges
             strftime(arrived, '_%Y-%m-%dT%H-%M-%SZ.json') END AS s3_key,
        CASE outcome WHEN 'api_status' THEN
             CASE WHEN event_type = 'error' THEN 'status: error' ELSE 'status: none' END
-            WHEN 'unknown' THEN 'no data.time' END AS error
+            WHEN 'network' THEN 'no answer' WHEN 'unknown' THEN 'no data.time' END AS error
 FROM responses""",
     ),
     "ingest_summary": _with(
@@ -659,6 +660,7 @@ FROM responses""",
 SELECT strftime(date_trunc('hour', arrived), '%Y%m%d_%H%M%S') AS ingestion_id, count(*) AS cities,
        count(*) FILTER (outcome = 'success') AS success,
        count(*) FILTER (outcome <> 'success') AS failed,
+       count(*) FILTER (outcome = 'network') AS failed_network,
        count(*) FILTER (outcome = 'api_status') AS failed_api_status,
        count(*) FILTER (outcome = 'unknown') AS failed_unknown
 FROM responses GROUP BY 1""",
@@ -681,7 +683,7 @@ FROM responses GROUP BY 1""",
         READINGS_BY_HALF,
         "landed AS (SELECT * FROM flat WHERE outcome = 'success')",
         """
-SELECT 1 AS run, 'LOADED' AS status,
+SELECT CAST(1 AS INTEGER) AS run, 'LOADED' AS status,
        (SELECT count(*) FROM landed WHERE arrived < TIMESTAMP '2024-01-16') AS raw_rows,
        (SELECT count(*) FROM fresh WHERE arrived < TIMESTAMP '2024-01-16') AS fresh_rows,
        (SELECT count(*) FROM early_dim) AS new_stations,
@@ -756,9 +758,18 @@ WHERE event_type NOT IN (SELECT event_type FROM events)""",
          (SELECT count(*) FROM readings) AS new_rows)""",
         """
 SELECT 'all cities' AS run, 'LOADED' AS load_status, counts.*, TRUE AS quality_passed,
-       11 AS checks_passed, 11 AS checks_total, 'gold refreshed' AS outcome FROM counts
+       CAST(11 AS BIGINT) AS checks_passed, CAST(11 AS BIGINT) AS checks_total,
+       'gold refreshed' AS outcome,
+       (SELECT count(DISTINCT (queried_city, CAST(measured_at AS DATE))) FROM readings)
+         AS daily_rows,
+       (SELECT count(DISTINCT (queried_city, date_trunc('month', measured_at))) FROM readings)
+         AS ranking_rows,
+       (SELECT count(DISTINCT (waqi_idx, queried_city, date_trunc('month', measured_at)))
+        FROM readings) AS station_rows
+FROM counts
 UNION ALL
-SELECT 'one more city', 'LOADED', counts.*, FALSE, 9, 11, 'stopped: checks failed' FROM counts""",
+SELECT 'one more city', 'LOADED', counts.*, FALSE, 9, 11, 'stopped: checks failed', 0, 0, 0
+FROM counts""",
     ),
 }
 

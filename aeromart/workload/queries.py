@@ -265,8 +265,10 @@ def insert_new(spark, sf_dir):
 def _documents(spark, sf_dir) -> DataFrame:
     """Parsed API documents, with the partition column of the raw folders."""
     responses = op.normalise_slugs(ad.responses_from_events(spark, sf_dir))
+    # Through a generator, a body is parsed once and not once per field taken from it.
     parsed = responses.select(
-        F.from_json("body", API_SCHEMA).alias("doc"), F.col("city").alias("queried_city")
+        F.explode(F.array(F.from_json("body", API_SCHEMA))).alias("doc"),
+        F.col("city").alias("queried_city"),
     )
     return parsed.select("doc.*", "queried_city")
 

@@ -211,9 +211,13 @@ def test_refresh_of_changed_months_equals_a_full_one(spark, tmp_path):
     assert am.write_dim(dim, dim_path) == 2
     assert am.write_fact(rows([(1, 1), (1, 2), (2, 1)], first), fact_path) == 6
     gold, full = str(tmp_path / "gold"), str(tmp_path / "full")
-    assert am.refresh_gold(spark, fact_path, dim_path, gold, first, full=False) is None
+    done = am.refresh_gold(spark, fact_path, dim_path, gold, first, full=False)
+    assert tuple(done) == (None, 3, 2, 4)
     am.write_fact(rows([(2, 2), (2, 3)], second), fact_path)
-    assert am.refresh_gold(spark, fact_path, dim_path, gold, second, full=False) == [("2024", "02")]
+    done = am.refresh_gold(spark, fact_path, dim_path, gold, second, full=False)
+    assert tuple(done) == ([("2024", "02")], 3, 2, 2)
+    again = am.refresh_gold(spark, fact_path, dim_path, gold, second, full=False)
+    assert tuple(again) == ([], 0, 0, 0)
     am.refresh_gold(spark, fact_path, dim_path, full, second)
 
     def tables(root):

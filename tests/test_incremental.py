@@ -134,7 +134,7 @@ def test_replacing_the_dimension(spark, tmp_path):
     _, dim = am.api_to_silver(am.read_api_bronze(spark, str(tmp_path / "bronze")), AS_OF)
     path = str(tmp_path / "dim")
     assert am.write_dim(dim, path) == 2
-    am.write_dim(dim.filter("waqi_idx = 2"), path, replace=True)
+    assert am.write_dim(dim.filter("waqi_idx = 2"), path, replace=True) == 1
     assert [r["waqi_idx"] for r in am.read_dim(spark, path).collect()] == [2]
 
 
@@ -162,6 +162,7 @@ def test_gate(spark, tmp_path):
     write_documents(src, [document(i + 20) for i in range(4)], city="da-nang")
     second = run()
     assert second["quality_passed"] and second["outcome"] == "gold refreshed"
+    assert [second[c] for c in ("daily_rows", "ranking_rows", "station_rows")] == [3, 2, 12]
     gold = str(tmp_path / "gold")
     daily = am.read_daily(spark, f"{gold}/gold_aqi_daily_summary")
     assert daily.agg(F.sum("record_count")).first()[0] == 12

@@ -24,6 +24,7 @@ BODIES = {
     "can-tho": json.dumps({"data": {"time": {}}}),
     "da-lat": "<html>",
     "vung-tau": "[1, 2]",
+    "phu-quoc": None,
     "nha-trang": json.dumps({"status": "ok", "data": {"time": {"iso": None}, "aqi": None}}),
 }
 
@@ -46,6 +47,7 @@ def test_outcomes(responses):
         "can-tho": "api_status",
         "da-lat": "api_status",
         "vung-tau": "unknown",
+        "phu-quoc": "network",
         "nha-trang": "success",
     }
 
@@ -62,13 +64,13 @@ def test_outcomes(responses):
 
 def test_summary(responses):
     assert [tuple(r) for r in am.ingest_summary(responses).collect()] == [
-        ("20260411_170005", 10, 3, 7, 3, 4)
+        ("20260411_170005", 11, 3, 8, 1, 3, 4)
     ]
 
 
 def test_land_and_read_back(spark, responses, tmp_path):
     path = str(tmp_path / "api_raw")
-    am.land_bronze(responses, path)
+    assert am.land_bronze(responses, path) == 3
     folders = {str(p.parent.relative_to(path)) for p in Path(path).rglob("*.txt")}
     assert folders == {
         f"queried_city={c}/year=2026/month=04/day=11" for c in ("ha-noi", "da-nang", "nha-trang")
