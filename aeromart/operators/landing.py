@@ -1,6 +1,7 @@
-"""Raw API responses as a table: columns `city`, `body` and `ingested_at` (timestamp).
+"""Raw API responses as a table: city, body text and the timestamp at which it was taken in.
 
-A request that got no answer has a NULL body.
+The columns are `city`, `body` and `ingested_at` unless other names are given. A request that got
+no answer has a NULL body.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +25,9 @@ def _text_or_na(document: Column, path: str) -> Column:
     return F.when(value.isNull(), "N/A").otherwise(F.try_variant_get(document, path, "string"))
 
 
-def ingest_outcomes(responses: DataFrame) -> DataFrame:
+def ingest_outcomes(
+    responses: DataFrame, city: str = "city", body: str = "body", at: str = "ingested_at"
+) -> DataFrame:
     """Outcome of every response, one row each.
 
     `network`: no answer. `api_status`: not JSON, or a status other than ok. `unknown`: ok, but
@@ -33,13 +36,14 @@ def ingest_outcomes(responses: DataFrame) -> DataFrame:
     """
     # The document is parsed inside the generator: what a generator yields is never inlined
     # into the many expressions over it, so a body is parsed once.
-    body = F.try_parse_json("body")
+    document = F.try_parse_json(body)
     pairs = F.transform(
-        parse_slug_list(F.col("city")), lambda slug: F.struct(slug.alias("city"), body.alias("doc"))
-    )
-    parsed = responses.withColumn("_pair", F.explode(pairs)).withColumns(
-        {"city": F.col("_pair.city"), "_doc": F.col("_pair.doc")}
+        parse_slug_list(F.col(city)),
+        lambda slug: F.struct(slug.alias("city"), document.alias("doc")),
     )
+    parsed = responses.select(
+        F.explode(pairs).alias("_pair"), F.col(body).alias("body"), F.col(at).alias("ingested_at")
+    ).withColumns({"city": F.col("_pair.city"), "_doc": F.col("_pair.doc")})
     doc = F.col("_doc")
     status = F.try_variant_get(doc, "$.status", "string")
     outcome = (
@@ -74,16 +78,16 @@ def ingest_outcomes(responses: DataFrame) -> DataFrame:
     )
 
 
-def landable(responses: DataFrame) -> DataFrame:
+def landable(responses: DataFrame, **columns: str) -> DataFrame:
     """The responses that are kept as raw documents: the successful ones."""
-    return ingest_outcomes(responses).filter(F.col("outcome") == "success")
+    return ingest_outcomes(responses, **columns).filter(F.col("outcome") == "success")
 
 
-def ingest_summary(responses: DataFrame) -> DataFrame:
+def ingest_summary(responses: DataFrame, **columns: str) -> DataFrame:
     """Totals per ingestion run. Blank entries of the city list are not counted."""
     outcome = F.col("outcome")
     return (
-        ingest_outcomes(responses)
+        ingest_outcomes(responses, **columns)
         .groupBy("ingestion_id")
         .agg(
             F.count("*").alias("cities"),

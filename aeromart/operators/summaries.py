@@ -1,8 +1,8 @@
 """Aggregates over the fact table.
 
 The raw rows are touched by hash aggregation only. The most frequent value is found from
-per-value partial results, so a summary needs one scan and never sorts or collects raw rows;
-a city, station or day that holds much of the data shrinks before it is shuffled.
+per-value counts, so a summary never sorts or collects raw rows; a city, station or day that
+holds much of the data shrinks before it is shuffled.
 """
 
 from functools import reduce
@@ -33,19 +33,30 @@ def _same_key(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
     return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _partials(df: DataFrame, keys, measures=MEASURES) -> DataFrame:
+def _metrics() -> list[Column]:
+    """Rounded means, extremes and row count of a group of readings."""
+    return [
+        mean2("aqi").alias("avg_aqi"),
+        F.max("aqi").alias("max_aqi"),
+        F.min("aqi").alias("min_aqi"),
+        *[mean2(m).alias(f"avg_{m}") for m in MEASURES if m != "aqi"],
+        F.count("*").alias("record_count"),
+    ]
+
+
+def _partials(df: DataFrame, keys) -> DataFrame:
     """Mergeable sums and counts per group."""
     return df.groupBy(*keys).agg(
         F.count("*").alias("_n"),
         F.max("aqi").alias("_max"),
         F.min("aqi").alias("_min"),
-        *[F.sum(m).alias(f"_sum_{m}") for m in measures],
-        *[F.count(m).alias(f"_cnt_{m}") for m in measures],
+        *[F.sum(m).alias(f"_sum_{m}") for m in MEASURES],
+        *[F.count(m).alias(f"_cnt_{m}") for m in MEASURES],
     )
 
 
-def _merged(measures=MEASURES) -> list[Column]:
-    """Final metrics over partial rows."""
+def _merged() -> list[Column]:
+    """The same metrics over `_partials`."""
 
     def mean(m):
         return round2(F.try_divide(F.sum(f"_sum_{m}"), F.sum(f"_cnt_{m}"))).alias(f"avg_{m}")
@@ -54,7 +65,8 @@ def _merged(measures=MEASURES) -> list[Column]:
         mean("aqi"),
         F.max("_max").alias("max_aqi"),
         F.min("_min").alias("min_aqi"),
-        *[mean(m) for m in measures if m != "aqi"],
+        *[mean(m) for m in MEASURES if m != "aqi"],
+        F.sum("_n").alias("record_count"),
     ]
 
 
@@ -65,7 +77,6 @@ def metrics_by(df: DataFrame, keys, col: str = "dominant_pollutant") -> DataFram
         .groupBy(*keys)
         .agg(
             *_merged(),
-            F.sum("_n").alias("record_count"),
             most_frequent(col, F.col("_n")).alias("_mode"),
         )
         .withColumn(col, _where_known(keys, F.col("_mode")))
@@ -90,14 +101,7 @@ def _with_stations(metrics: DataFrame, dated: DataFrame) -> DataFrame:
 def daily_metrics(fact: DataFrame, tz: str | None = None) -> DataFrame:
     """City and day: rounded means, extremes, distinct stations, rows."""
     dated = with_date(fact, tz=tz)
-    metrics = dated.groupBy(*DAILY_KEYS).agg(
-        mean2("aqi").alias("avg_aqi"),
-        F.max("aqi").alias("max_aqi"),
-        F.min("aqi").alias("min_aqi"),
-        *[mean2(m).alias(f"avg_{m}") for m in MEASURES if m != "aqi"],
-        F.count("*").alias("record_count"),
-    )
-    return _with_stations(metrics, dated)
+    return _with_stations(dated.groupBy(*DAILY_KEYS).agg(*_metrics()), dated)
 
 
 def daily_with_mode(fact: DataFrame, tz: str | None = None) -> DataFrame:
@@ -144,31 +148,13 @@ def station_monthly(
 ) -> DataFrame:
     """Station, city and month over raw readings, so that every reading counts once.
 
-    The most frequent pollutant is that of the station's month in any city. Both come from the
-    same partial rows, and the dimension is joined to the small result: the name and the
-    coordinates depend on the station alone.
+    The most frequent pollutant is that of the station's month in any city. The dimension is
+    joined to the small result: the name and the coordinates depend on the station alone.
     """
     month_keys = ["waqi_idx", "year", "month"]
-    month = Window.partitionBy(*month_keys)
-    value = Window.partitionBy(*month_keys, col)
-    # One shuffle of the partial rows serves both windows and the final aggregate.
-    partial = (
-        _partials(fact, [*STATION_KEYS, col])
-        .repartition(*month_keys)
-        .withColumn("_all", F.sum("_n").over(value))
-        .withColumn("_top", F.min(F.struct(-F.col("_all"), F.col(col).alias("value"))).over(month))
-    )
-    monthly = (
-        partial.groupBy(*STATION_KEYS)
-        .agg(
-            *_merged(),
-            F.sum("_n").alias("record_count"),
-            F.min("_top.value").alias("_mode"),
-        )
-        .withColumn(col, _where_known(month_keys, F.col("_mode")))
-        .drop("_mode")
-    )
-    return enrich_with_dim(monthly, dim)
+    monthly = fact.groupBy(*STATION_KEYS).agg(*_metrics())
+    with_mode = attach_mode(monthly, mode_per_group(fact, month_keys, col), month_keys)
+    return enrich_with_dim(with_mode, dim)
 
 
 def rank_cities(df: DataFrame) -> DataFrame:

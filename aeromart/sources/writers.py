@@ -153,15 +153,18 @@ def write_ranking(df: DataFrame, path: str, months=None, table: str | None = Non
     return _save(df, path, "overwrite", table=table)
 
 
-def land_bronze(responses: DataFrame, path: str, meta_path: str | None = None) -> int:
+def land_bronze(
+    responses: DataFrame, path: str, meta_path: str | None = None, **columns: str
+) -> int:
     """Keep the successful raw responses under `queried_city=/year=/month=/day=` folders.
 
     A body is stored as it is, except that line breaks between its tokens become blanks: Spark
     puts many documents in one file, one per line. When it came and from where is kept beside
     it, in a Parquet table at `meta_path`, not in the document. Returns how many were kept.
+    `columns` name the columns of `responses`, as in `ingest_outcomes`.
     """
     at = F.col("ingested_at")
-    kept = landable(responses).select(
+    kept = landable(responses, **columns).select(
         F.regexp_replace("body", r"[\r\n]+\s*", " ").alias("body"),
         F.col("city").alias("queried_city"),
         F.date_format(at, "yyyy").alias("year"),

@@ -68,6 +68,12 @@ def test_summary(responses):
     ]
 
 
+def test_other_column_names(responses):
+    renamed = responses.withColumnsRenamed({"city": "c", "body": "b", "ingested_at": "t"})
+    names = {"city": "c", "body": "b", "at": "t"}
+    assert am.ingest_summary(renamed, **names).collect() == am.ingest_summary(responses).collect()
+
+
 def test_land_and_read_back(spark, responses, tmp_path):
     path = str(tmp_path / "api_raw")
     assert am.land_bronze(responses, path) == 3
