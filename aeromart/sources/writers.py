@@ -42,13 +42,14 @@ def _observed_rows(counted: Observation) -> int:
 def _save(
     df: DataFrame, path: str, mode: str, partition_cols=(), table=None, dynamic=False
 ) -> int:
-    """Snappy Parquet; returns the rows written, counted by the write itself.
+    """Snappy Parquet; returns the rows written.
 
-    With `table` it is also registered in the catalog under that name.
+    They are counted in the last stage of the write, where a task that runs again after a lost
+    executor is not counted twice. With `table` the result is also registered in the catalog.
     """
     counted = Observation()
-    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    writer = _laid_out(rows, partition_cols).write.mode(mode).option("compression", "snappy")
+    rows = _laid_out(df, partition_cols).observe(counted, F.count(F.lit(1)).alias("rows"))
+    writer = rows.write.mode(mode).option("compression", "snappy")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     if dynamic:
