@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromart.llm import labelled, pieces, quality, rules, toxicity
+from aeromart.llm import labelled, licences, neardup, pieces, quality, rules, substrings, toxicity
 
 #: The folder of public tokenizer files is a parameter of the operators; this is the queries' choice.
 TOKENIZER = "piece_bpe_32k.model"
@@ -20,6 +20,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_units(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"), keep=labelled.remainder(4) != 2)
@@ -31,6 +35,14 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Rule(shingle=3, percent=85))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lexicon = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), keep=labelled.remainder(5) != 0)
@@ -44,10 +56,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_quality_classifier": op2_quality_classifier,
     "op5_sentencepiece": op5_sentencepiece,
+    "op7_minhash_neardup": op7_minhash_neardup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_license_scan": licences.licence_sql(), "op8_substring_dedup": substrings.repeats_sql()}
