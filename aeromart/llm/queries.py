@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromart.llm import labelled, licences, neardup, pieces, quality, rules, substrings, toxicity
+from aeromart.llm import contamination, labelled, licences, neardup, pieces, quality, rules, substrings, toxicity
 
 #: The folder of public tokenizer files is a parameter of the operators; this is the queries' choice.
 TOKENIZER = "piece_bpe_32k.model"
@@ -35,6 +35,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Rule(shingle=3, percent=85))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_classifier": op2_quality_classifier,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_decontamination": op6_decontamination,
     "op7_minhash_neardup": op7_minhash_neardup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
