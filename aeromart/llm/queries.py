@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromart.llm import contamination, labelled, licences, neardup, pieces, quality, rules, substrings, toxicity
+from aeromart.llm import contamination, labelled, licences, maxent, neardup, pieces, quality, rules, substrings, toxicity
 
 #: The folder of public tokenizer files is a parameter of the operators; this is the queries' choice.
 TOKENIZER = "piece_bpe_32k.model"
@@ -31,6 +31,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", labelled.held_out(4, 2).alias("held_out"), "score", "predicted")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = maxent.score_texts(table(spark, sf_dir, "documents"), labelled.remainder(5) != 1)
+    return scored.withColumn("held_out", labelled.held_out(5, 1))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -62,6 +67,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_lm_scoring": op3_lm_scoring,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_decontamination": op6_decontamination,
     "op7_minhash_neardup": op7_minhash_neardup,
