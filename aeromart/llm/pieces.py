@@ -130,6 +130,28 @@ def decode_ids(docs: DataFrame, model_path: str, column: str = "ids", out: str =
     return docs.mapInArrow(run, schema)
 
 
+def tokenised(docs: DataFrame, model_path: str, column: str = "text", table_size: int = TABLE_SIZE) -> DataFrame:
+    """The rows of `docs` with ids, n_tokens and round_trip (do the ids decode to the text?).
+
+    Columns of `docs` with these names are replaced. A null text counts as empty.
+    """
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())]
+    docs = docs.drop(*(f.name for f in added))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(model_path, table_size)
+        for block in blocks(batches, column):
+            texts = block[column].to_pylist()
+            ids = coder.encode(texts)
+            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            same = [a == (b or "") for a, b in zip(coder.decode(ids), texts, strict=True)]
+            columns = [*block.columns, lists, pa.array(np.diff(offsets).astype(np.int64)), pa.array(same)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*block.schema.names, *(f.name for f in added)])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+
+
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
