@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aeromart.llm import contamination, labelled, licences, maxent, neardup, pieces, quality, rules, substrings, toxicity
+from aeromart.llm import contamination, labelled, licences, maxent, neardup, pages, pieces, quality, rules, substrings, toxicity
 
 #: The folder of public tokenizer files is a parameter of the operators; this is the queries' choice.
 TOKENIZER = "piece_bpe_32k.model"
@@ -36,6 +36,10 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", labelled.held_out(5, 1))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_html_extraction": op4_html_extraction,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_decontamination": op6_decontamination,
     "op7_minhash_neardup": op7_minhash_neardup,
