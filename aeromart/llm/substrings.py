@@ -67,7 +67,8 @@ class _Windows:
             step = min(span, wide - span)
             least = np.minimum(least[:-step], least[step:]) if len(least) > step else least[:0]
             span += step
-        self.least = least[self.at] if len(self.at) else least[:0]
+        # Smallest hashes are small: they are mixed again, so that the bins of their leading bits are even.
+        self.least = W.mixed(least[self.at]) if len(self.at) else least[:0]
 
     def repeats(self) -> np.ndarray:
         """Marks the windows that occur earlier in the block."""
