@@ -3,12 +3,12 @@
 1. A document's set holds the 63-bit hashes of its distinct word shingles; its sketch is the SKETCH
    smallest of them. Documents with equal sets form one class, and only classes go on.
 2. Inverted lists. Two sets with a Jaccard similarity of at least t share at least s sketch values: for sets that fit
-   in a sketch this follows from the sizes, for larger ones s lies six standard deviations below the
+   in a sketch this follows from the sizes, for larger ones s lies DEVIATIONS standard deviations below the
    expected t k. In one order of all values, rarest first, such sketches must then
    share a value among their first k - s + 1. Only those values are listed, and only where a second class has
    the value, so a passage that many documents share puts none of them on a list.
 3. Candidates. Lists of up to SHORT classes give their pairs. On a longer list a few hubs are compared with
-   the members outside their component, in rounds with four times more hubs each, until the list
+   the members outside their component, in rounds with more hubs each, until the list
    lies in one component or each member has been a hub. A group of thousands of near copies is
    thereby joined without all its pairs, and no link between components is missed.
 4. The k smallest values of the union of two sketches are a sample of the union of the sets: pairs whose share of common
@@ -31,9 +31,11 @@ from aeromart.llm import words as W
 from aeromart.llm.components import components
 from aeromart.llm.staging import staged
 
-SKETCH = 64
+SKETCH = 128
+#: A link may share so many standard deviations fewer sketch values than expected (one in three million does not).
+DEVIATIONS = 5
 SHORT = 40
-GROWTH = 4
+FIRST_HUBS, GROWTH = 2, 8
 
 
 @dataclass(frozen=True)
@@ -48,7 +50,7 @@ class Rule:
     def shared_of_full(self) -> int:
         """Least number of common values among the `sketch` smallest of a union of larger sets."""
         t, k = self.percent / 100, self.sketch
-        return max(1, int(t * k - 6 * sqrt(k * t * (1 - t))))
+        return max(1, int(t * k - DEVIATIONS * sqrt(k * t * (1 - t))))
 
     def listed(self, n: Column) -> Column:
         """How many of a set's sketch values are listed."""
@@ -60,6 +62,23 @@ class Rule:
     def sizes_fit(self, a: Column, b: Column) -> Column:
         return F.least(a, b) * 100 >= self.percent * F.greatest(a, b)
 
+    def missing(self, n: Column, other: Column) -> Column:
+        """How many sketch values of a set of n may be foreign to a similar set of size `other`.
+
+        Of the larger set a share m = 1 - c / max(n, other) is foreign, c being the least number of common
+        shingles. Sets that fit in a sketch have n - c foreign values at most. Of larger ones,
+        k m are expected in a sketch of k. If only one set fits, nothing is ruled out.
+        """
+        k = F.lit(float(self.sketch))
+        common = (n + other) * self.percent / (100 + self.percent)
+        m = F.greatest(1 - common / F.greatest(n, other), F.lit(0.0))
+        sampled = k * m + DEVIATIONS * F.sqrt(k * m * (1 - m)) + 1
+        return F.when((n <= k) & (other <= k), n - common).when((n > k) & (other > k), sampled).otherwise(k)
+
+    def may_meet(self, n_a: Column, at_a: Column, n_b: Column, at_b: Column) -> Column:
+        """May two sets be similar whose rarest common sketch value has the places at_a and at_b in their order?"""
+        return self.sizes_fit(n_a, n_b) & (at_a <= self.missing(n_a, n_b)) & (at_b <= self.missing(n_b, n_a))
+
     def similar(self, common: Column, union: Column) -> Column:
         return common * 100 >= union * self.percent
 
@@ -129,13 +148,15 @@ class _Search:
         self.sets = staged(full_sets(texts, rule), "sets")
 
     def _lists(self) -> DataFrame:
-        """(value, class, n): the first values of each sketch, rarest first, without those that one class alone has."""
+        """(value, class, n, place): the first values of each sketch, rarest first, without those that one class alone has."""
         values = self.classes.select("class", "n", F.explode("sketch").alias("value"))
         common = values.groupBy("value").agg(F.count("*").alias("held")).where("held > 1")
         own = values.join(common, "value").groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct("held", "value"))).alias("own"))
         alone = F.least("n", F.lit(self.rule.sketch)) - F.size("own")
         first = (self.rule.listed(F.col("n")) - alone).cast("int")
-        return own.where(first > 0).select(F.explode(F.slice("own", F.lit(1), first)).alias("v"), "class", "n").select("v.value", "class", "n")
+        listed = own.select("class", "n", alone.alias("alone"), first.alias("first"), "own").where("first > 0")
+        listed = listed.select("class", "n", "alone", F.posexplode(F.slice("own", F.lit(1), F.col("first"))).alias("at", "v"))
+        return listed.select("v.value", "class", "n", (F.col("alone") + F.col("at")).cast("int").alias("place"))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links: estimated on the union of the sketches, then checked on the full sets."""
@@ -144,53 +165,59 @@ class _Search:
         sides = pairs.join(sketch.toDF("a", "own_a", "n_a"), "a").join(sketch.toDF("b", "own_b", "n_b"), "b")
         union = F.slice(F.array_sort(F.array_union("own_a", "own_b")), 1, k)
         common = F.size(F.array_intersect(F.array_intersect("own_a", "own_b"), F.col("union")))
-        likely = sides.withColumn("union", union).where(self.rule.sizes_fit(F.col("n_a"), F.col("n_b")))
+        both = F.size(F.array_intersect("own_a", "own_b"))
+        near = (F.size("own_a") - both <= self.rule.missing(F.col("n_a"), F.col("n_b"))) & (F.size("own_b") - both <= self.rule.missing(F.col("n_b"), F.col("n_a")))
+        likely = sides.where(near).withColumn("union", union)
         likely = likely.where((common >= self.rule.shared_of_full) | ((F.size("union") < k) & self.rule.similar(common, F.size("union"))))
         whole = likely.select("a", "b").join(self.sets.toDF("a", "all_a"), "a").join(self.sets.toDF("b", "all_b"), "b")
         shared = F.size(F.array_intersect("all_a", "all_b"))
         return whole.where(self.rule.similar(shared, F.size("all_a") + F.size("all_b") - shared)).select("a", "b").distinct()
 
-    def labelled(self, members: DataFrame, links: DataFrame | None) -> DataFrame:
-        """members with the component of each class so far."""
-        if links is None:
+    def labelled(self, members: DataFrame, found: DataFrame | None) -> DataFrame:
+        """members (value, class, n, place) with the component of each class so far."""
+        members = members.select("value", "class", "n", "place")
+        if found is None:
             return members.withColumn("component", F.col("class"))
-        found = components(links).withColumnRenamed("node", "class")
         return members.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
     def links(self) -> DataFrame:
         long = self.counts.where(F.col("members") > SHORT)
-        links = None
-        if not long.isEmpty():
-            members = staged(self.lists.join(long.select("value"), "value", "left_semi"), "members")
-            links = self._by_hubs(members)
+        links, known = self._by_hubs(self.lists.join(long.select("value"), "value", "left_semi"))
         short = self.lists.join(self.counts.where(F.col("members") <= SHORT).select("value"), "value", "left_semi")
-        members = self.labelled(short, links)
-        a, b = (members.select("value", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "n", "component"))) for side in "ab")
-        apart = (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b")) & self.rule.sizes_fit(F.col("n_a"), F.col("n_b"))
+        members = self.labelled(short, known)
+        a, b = (members.select("value", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "n", "place", "component"))) for side in "ab")
+        apart = (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b"))
+        apart &= self.rule.may_meet(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"))
         pairs = a.join(b, (a["value"] == b["value"]) & apart).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
         found = staged(self.confirmed(pairs), "links")
         return found if links is None else found.unionByName(links)
 
-    def _by_hubs(self, members: DataFrame) -> DataFrame:
-        used, links, salts = None, None, 1
+    def _by_hubs(self, members: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+        """Links found on long lists, and (class, component) of the classes that they join."""
+        links = known = used = None
+        salts = FIRST_HUBS
+        state = staged(self.labelled(members, None), "state")
         while True:
-            state = staged(self.labelled(members, links), "state")
             open_lists = state.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("value")
             free = state.join(open_lists, "value", "left_semi")
             if used is not None:
                 free = free.join(used, ["value", "class"], "left_anti")
             salt = F.pmod(F.xxhash64("class"), F.lit(salts))
-            hubs = staged(free.groupBy("value", salt.alias("salt")).agg(F.min(F.struct("class", "n", "component")).alias("hub")), "hubs")
+            hubs = staged(free.groupBy("value", salt.alias("salt")).agg(F.min(F.struct("class", "n", "place", "component")).alias("hub")), "hubs")
             if hubs.isEmpty():
-                return links if links is not None else self.lists.sparkSession.createDataFrame([], "a long, b long")
-            apart = (state["class"] != F.col("hub.class")) & (state["component"] != F.col("hub.component")) & self.rule.sizes_fit(state["n"], F.col("hub.n"))
+                return links, known
+            apart = (state["class"] != F.col("hub.class")) & (state["component"] != F.col("hub.component"))
+            apart &= self.rule.may_meet(state["n"], state["place"], F.col("hub.n"), F.col("hub.place"))
             pairs = state.join(hubs.withColumnRenamed("value", "at"), (F.col("value") == F.col("at")) & apart)
             pairs = pairs.select(F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")).distinct()
             found = staged(self.confirmed(pairs), "links")
-            links = found if links is None else links.unionByName(found)
             now = hubs.select("value", "hub.class")
             used = now if used is None else used.unionByName(now)
             salts *= GROWTH
+            if not found.isEmpty():
+                links = found if links is None else links.unionByName(found)
+                known = components(links).toDF("class", "component")
+                state = staged(self.labelled(state, known), "state")
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
