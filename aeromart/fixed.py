@@ -192,9 +192,11 @@ REPORT_SCHEMA = T.StructType(
     )
 )
 
+LOADS_SCHEMA = T.StructType(_columns("load_id bigint, year string, month string"))
+REFRESHES_SCHEMA = T.StructType(_columns("load_id bigint, finished_at timestamp"))
 RUN_SCHEMA = T.StructType(
     _columns(
         "status string, reason string, raw_rows bigint, fresh_rows bigint, "
-        "new_stations bigint, new_rows bigint, ingested_at string"
+        "new_stations bigint, new_rows bigint, dropped_rows bigint, ingested_at string"
     )
 )

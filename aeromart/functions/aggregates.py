@@ -28,12 +28,14 @@ def distinct_count(col) -> Column:
     return F.countDistinct(col)
 
 
-def distinct_text(col) -> Column:
-    """Distinct non-NULL values, sorted and comma-joined.
+def distinct_text(col, expected) -> Column:
+    """Those of the expected values that occur, sorted and comma-joined.
 
-    The answer is one cell, so this is for columns with few values (cities, sources).
+    The answer is one cell. What is gathered is bounded by what is expected, whatever the column
+    holds; `unexpected_values` returns the rest as rows.
     """
-    return F.array_join(F.array_sort(F.collect_set(col)), ",")
+    value = F.col(col) if isinstance(col, str) else col
+    return F.array_join(F.array_sort(F.collect_set(F.when(value.isin(*expected), value))), ",")
 
 
 def pct(part: Column, total: Column) -> Column:

@@ -1,18 +1,22 @@
 """Numbers out of values whose type varies from row to row or from file to file."""
 
+from collections import ChainMap
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def types_by_path(schema: T.StructType, prefix: str = "") -> dict[str, T.DataType]:
+    """The type of every field, nested ones under their dotted paths."""
+    own = {prefix + f.name: f.dataType for f in schema}
+    nested = [types_by_path(t, name + ".") for name, t in own.items() if isinstance(t, T.StructType)]
+    return dict(ChainMap(own, *nested))
+
+
 def field_type(schema: T.StructType, path: str):
     """Type of the dotted `path` in `schema`; None where any part is missing."""
-    current = schema
-    for part in path.split("."):
-        if not isinstance(current, T.StructType) or part not in current.fieldNames():
-            return None
-        current = current[part].dataType
-    return current
+    return types_by_path(schema).get(path)
 
 
 def _quoted(path: str) -> str:

@@ -35,11 +35,8 @@ def classify_by_keyword(col: Column, mapping=CITY_KEYWORDS) -> Column:
 
     Case and accents count: the text must be in composed (NFC) form.
     """
-    found = None
-    for label, keywords in mapping.items():
-        matches = col.rlike("|".join(keywords))
-        found = F.when(matches, label) if found is None else found.when(matches, label)
-    return found
+    labels = [F.when(col.rlike("|".join(words)), F.lit(label)) for label, words in mapping.items()]
+    return F.coalesce(*labels)
 
 
 def aqi_band(col: Column, bands=AQI_BANDS, top=TOP_LEVEL) -> Column:

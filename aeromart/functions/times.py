@@ -24,7 +24,10 @@ def parse_ts_tz(date_col: Column, tz_col: Column) -> Column:
 
 
 def to_date(col: Column, tz: str | None = None) -> Column:
-    return F.to_date(F.from_utc_timestamp(col, tz) if tz else col)
+    """Calendar day of an instant; with `tz` the day there, in whatever zone the session is."""
+    if tz is None:
+        return F.to_date(col)
+    return F.convert_timezone(F.current_timezone(), F.lit(tz), col.cast("timestamp_ntz")).cast("date")
 
 
 def year_month(col: Column) -> tuple[Column, Column]:

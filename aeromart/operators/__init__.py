@@ -18,7 +18,7 @@ from .cleaning import (
     with_year_month,
 )
 from .landing import ingest_outcomes, ingest_summary, landable, normalise_slugs
-from .quality import dq_check, dq_summary, missing_values, sample_rows
+from .quality import dq_check, dq_summary, missing_values, sample_rows, unexpected_values
 from .summaries import (
     attach_mode,
     daily_metrics,
@@ -57,6 +57,7 @@ __all__ = [
     "rename_headers",
     "require_not_null",
     "sample_rows",
+    "unexpected_values",
     "select_dim",
     "select_fact",
     "station_monthly",

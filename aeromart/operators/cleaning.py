@@ -53,6 +53,11 @@ def rename_headers(df: DataFrame, mapping=CSV_HEADERS) -> DataFrame:
     return tidy.withColumnsRenamed(mapping)
 
 
+def identified(df: DataFrame) -> DataFrame:
+    """Rows with a station id. Rows without one are of unknown stations, which must not become one."""
+    return df.filter(F.col("waqi_idx").isNotNull())
+
+
 REQUIRED = ("measured_at", "aqi", "dominant_pollutant")
 
 

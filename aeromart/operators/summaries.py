@@ -1,7 +1,7 @@
 """Aggregates over the fact table.
 
-The raw rows are touched by hash aggregation only. The most frequent value is found from
-per-value counts, so a summary never sorts or collects raw rows; a city, station or day that
+The raw rows are touched by partial hash aggregation only. The most frequent value is found from
+per-value counts (those few rows are sorted, the raw ones are not); a city, station or day that
 holds much of the data shrinks before it is shuffled.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..fixed import DAY_COUNTS
 from ..functions import count_where, mean2, most_frequent
 from ..functions.aggregates import round2
+from ..session import stage
 from .cleaning import distinct_by, with_date
 
 DAILY_KEYS = ("queried_city", "date")
@@ -176,8 +177,9 @@ def rank_in_city(df: DataFrame) -> DataFrame:
 
     A city may hold very many stations, but a dense rank depends on the distinct values only.
     Those are ranked, and the ranks joined back on the value, which spreads a large city over
-    all tasks. The input is read twice and must be stored or checkpointed.
+    all tasks. The input is staged when this is called, and read twice: all of it, and four columns.
     """
+    df = stage(df, "ranked")
     keys = list(MONTHLY_KEYS)
     worst = Window.partitionBy(*keys).orderBy(F.col("avg_aqi").desc_nulls_last())
     ranks = (

@@ -1,6 +1,6 @@
 """Silver to gold: the daily, ranking and station tables."""
 
-from datetime import datetime, timedelta, timezone
+from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..fixed import DAILY_SCHEMA, MONTH_PARTITIONS, RANKING_SCHEMA, STATION_SCHEMA
 from ..functions import aqi_band
 from ..functions.times import as_utc
-from ..operators.cleaning import with_year_month
+from ..operators.cleaning import with_date, with_year_month
 from ..operators.summaries import (
     MONTHLY_KEYS,
     attach_mode,
@@ -20,16 +20,16 @@ from ..operators.summaries import (
     rank_in_city,
     station_monthly,
 )
-from ..session import cut_lineage, pin_utc
-from ..sources.readers import read_daily, read_dim, read_fact, read_ranking
+from ..session import pin_utc, stage, staging
+from ..sources.readers import read_daily, read_dim, read_fact, read_loads, read_refreshes
 from ..sources.writers import (
-    in_partitions,
-    touched_partitions,
+    in_span,
+    note_refresh,
+    span,
     write_daily,
     write_ranking,
     write_station_summary,
 )
-from .silver import iso_stamp
 
 
 def _stamp(at: datetime | None) -> Column:
@@ -50,16 +50,24 @@ def daily_summary(
     )
 
 
+def _local(fact: DataFrame, tz: str | None) -> DataFrame:
+    """Readings with the year and month of their local day."""
+    return with_year_month(with_date(fact, tz=tz), "date") if tz else fact
+
+
 def city_ranking(
-    daily: DataFrame, fact: DataFrame, aggregated_at: datetime | None = None
+    daily: DataFrame,
+    fact: DataFrame,
+    aggregated_at: datetime | None = None,
+    tz: str | None = None,
 ) -> DataFrame:
     """City and month from the daily table, with two dense ranks within the month.
 
-    Only the most frequent pollutant needs the fact table, and of that one text column.
+    Only the most frequent pollutant needs the fact table, and of that one text column. `tz` must
+    be that of the daily table, so that both count a reading in the same month.
     """
-    monthly = attach_mode(
-        monthly_from_daily(daily), mode_per_group(fact, MONTHLY_KEYS), MONTHLY_KEYS
-    )
+    modes = mode_per_group(_local(fact, tz), MONTHLY_KEYS)
+    monthly = attach_mode(monthly_from_daily(daily), modes, MONTHLY_KEYS)
     return (
         rank_cities(monthly.withColumn("pollution_level", aqi_band(F.col("avg_aqi"))))
         .withColumn("_aggregated_at", _stamp(aggregated_at))
@@ -72,11 +80,11 @@ def station_summary(
 ) -> DataFrame:
     """Station and month, ranked within the city.
 
-    Runs the aggregation when called: the ranking reads its result twice, from a checkpoint.
+    Runs the aggregation when called: the ranking stages its result and reads it twice.
     """
     monthly = station_monthly(fact, dim).withColumn("pollution_level", aqi_band(F.col("avg_aqi")))
     return (
-        rank_in_city(cut_lineage(monthly))
+        rank_in_city(monthly)
         .withColumn("_aggregated_at", _stamp(aggregated_at))
         .select(*STATION_SCHEMA.fieldNames())
     )
@@ -85,25 +93,56 @@ def station_summary(
 class Refresh(NamedTuple):
     """Months rebuilt (None for all) and rows written per gold table."""
 
-    months: list | None
+    months: int | None
     daily_rows: int
     ranking_rows: int
     station_rows: int
 
 
-def months_to_refresh(spark: SparkSession, fact: DataFrame, ranking_path: str) -> list | None:
-    """Months with readings taken in since the last refresh ended; None for all months.
+def months_to_refresh(
+    spark: SparkSession, fact_path: str, gold: str
+) -> tuple[int | None, DataFrame | None]:
+    """The newest load, and the months of the loads that no finished refresh covers; None for all.
 
-    The ranking is written last, so its newest stamp is that of a complete refresh, which has
-    covered all loads stamped no later. Loads and refreshes must run one after another.
-    `ingested_at` grows with every append, so Parquet statistics skip the older files.
+    Both come from small ledgers, not from stamps: a load with an older instant than the last
+    refresh counts like any other. A fact table without a ledger is refreshed in full.
     """
-    built = read_ranking(spark, ranking_path, missing_ok=True)
-    micros = built.agg(F.unix_micros(F.max("_aggregated_at")).alias("at")).first()["at"]
-    if micros is None:
+    loads = read_loads(spark, fact_path)
+    newest = loads.agg(F.max("load_id")).first()[0]
+    covered = read_refreshes(spark, gold).agg(F.max("load_id")).first()[0]
+    if newest is None or covered is None:
+        return newest, None
+    return newest, loads.filter(F.col("load_id") > covered).select(*MONTH_PARTITIONS).distinct()
+
+
+def _in_months(df: DataFrame, months: DataFrame | None) -> DataFrame:
+    """Rows of the months: their span prunes folders, a semi-join decides."""
+    if months is None:
+        return df
+    near = in_span(df, MONTH_PARTITIONS, span(months, MONTH_PARTITIONS))
+    return near.join(months, list(MONTH_PARTITIONS), "left_semi").select(*df.columns)
+
+
+def _shifted(text: str | None, by: int) -> str | None:
+    """`year/month` some months earlier or later."""
+    if text is None:
         return None
-    since = datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=micros)
-    return touched_partitions(fact.filter(F.col("ingested_at") > iso_stamp(since)), MONTH_PARTITIONS)
+    number = int(text[:-3]) * 12 + int(text[-2:]) - 1 + by
+    return f"{number // 12:04d}/{number % 12 + 1:02d}"
+
+
+def _local_part(fact: DataFrame, months: DataFrame, tz: str) -> tuple[DataFrame, DataFrame]:
+    """All readings of the local months that the changed months reach into, and those months.
+
+    A local month lies within one month of the stored one on either side.
+    """
+    local = stage(_local(_in_months(fact, months), tz).select(*MONTH_PARTITIONS).distinct(), "months")
+    low, high = span(local, MONTH_PARTITIONS)
+    near = in_span(fact, MONTH_PARTITIONS, (_shifted(low, -1), _shifted(high, 1)))
+    day = with_date(near, tz=tz).withColumnsRenamed({"year": "_year", "month": "_month"})
+    part = with_year_month(day, "date").join(local, list(MONTH_PARTITIONS), "left_semi")
+    part = part.drop(*MONTH_PARTITIONS, "date").withColumnsRenamed({"_year": "year", "_month": "month"})
+    return part.select(*fact.columns), local
 
 
 def refresh_gold(
@@ -112,27 +151,44 @@ def refresh_gold(
     dim_path: str,
     gold: str,
     as_of: datetime | None = None,
-    full: bool = True,
+    full: bool = False,
+    tz: str | None = None,
+    tables: dict[str, str] | None = None,
 ) -> Refresh:
     """Write the three gold tables under `gold`.
 
-    All gold rows belong to one month. Without `full`, only the months with new readings are
-    computed and replaced. The ranking reads the daily table just written.
+    All gold rows belong to one month. Only the months that were added to since the last finished
+    refresh are computed and replaced, unless `full` is set or there was none; a refresh that broke
+    off is made good by the next one. The days are those of `tz`, which must not change between
+    refreshes. `tables` registers the results in the catalog: names for `daily`, `ranking`, `station`.
     """
     pin_utc(spark)
-    fact, dim = read_fact(spark, fact_path), read_dim(spark, dim_path)
+    names = tables or {}
     daily_path, ranking_path = f"{gold}/gold_aqi_daily_summary", f"{gold}/gold_aqi_city_ranking"
-    months = None if full else months_to_refresh(spark, fact, ranking_path)
-    if months == []:
-        return Refresh(months, 0, 0, 0)
-    changed = months is not None
-    part = in_partitions(fact, MONTH_PARTITIONS, months)
-    station_rows = write_station_summary(
-        station_summary(part, dim, as_of), f"{gold}/gold_station_summary", dynamic=changed
-    )
-    daily_rows = write_daily(
-        daily_summary(part, aggregated_at=as_of), daily_path, dynamic=changed
-    )
-    daily = in_partitions(read_daily(spark, daily_path), MONTH_PARTITIONS, months)
-    ranking_rows = write_ranking(city_ranking(daily, part, as_of), ranking_path, months=months)
-    return Refresh(months, daily_rows, ranking_rows, station_rows)
+    with staging(spark):
+        fact, dim = read_fact(spark, fact_path), read_dim(spark, dim_path)
+        newest, months = months_to_refresh(spark, fact_path, gold)
+        months = None if full or months is None else stage(months, "months")
+        changed = months is not None
+        if changed and months.isEmpty():
+            return Refresh(0, 0, 0, 0)
+        part = _in_months(fact, months)
+        station_rows = write_station_summary(
+            station_summary(part, dim, as_of),
+            f"{gold}/gold_station_summary",
+            dynamic=changed,
+            table=names.get("station"),
+        )
+        days = months
+        if changed and tz:
+            part, days = _local_part(fact, months, tz)
+        daily_rows = write_daily(
+            daily_summary(part, tz, as_of), daily_path, dynamic=changed, table=names.get("daily")
+        )
+        daily = _in_months(read_daily(spark, daily_path), days)
+        ranking_rows = write_ranking(
+            city_ranking(daily, part, as_of, tz), ranking_path, days, table=names.get("ranking")
+        )
+        rebuilt = months.count() if changed else None
+        note_refresh(fact, gold, newest)
+    return Refresh(rebuilt, daily_rows, ranking_rows, station_rows)

@@ -20,6 +20,7 @@ from ..operators.cleaning import (
     dedup_latest,
     drop_stale,
     flatten_api,
+    identified,
     latest_dim,
     rename_headers,
     require_not_null,
@@ -35,7 +36,14 @@ def iso_stamp(as_of: datetime) -> str:
 def clean_csv(
     df: DataFrame, ingested_at: str, mapping=CITY_KEYWORDS, source: str = "kaggle"
 ) -> DataFrame:
-    """Typed rows of the historical CSV, for the stations of the known cities."""
+    """Typed rows of the historical CSV, for the stations of the known cities that have a usable id."""
+    return identified(typed_csv(df, ingested_at, mapping, source))
+
+
+def typed_csv(
+    df: DataFrame, ingested_at: str, mapping=CITY_KEYWORDS, source: str = "kaggle"
+) -> DataFrame:
+    """The same with the rows whose id is not a whole number in range: their `waqi_idx` is NULL."""
     raw = rename_headers(df)
     city = classify_by_keyword(F.col("station_name"), mapping)
     known = (
@@ -91,8 +99,8 @@ def csv_to_silver(
 
 
 def fresh_readings(flat: DataFrame, as_of: datetime, hours: float = STALE_HOURS) -> DataFrame:
-    """Complete readings that are not stale."""
-    return drop_stale(require_not_null(flat), as_of, hours)
+    """Complete readings of identified stations that are not stale."""
+    return drop_stale(require_not_null(identified(flat)), as_of, hours)
 
 
 def api_to_silver(

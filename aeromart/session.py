@@ -2,11 +2,15 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Calendar days are those of UTC on every machine."""
@@ -28,9 +32,31 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: computed once, kept in the shared folder, survives lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+def stage(df: DataFrame, name: str = "stage", partition_cols=()) -> DataFrame:
+    """Compute `df` once, into Parquet in the shared folder, and read it back.
+
+    The files survive lost executors, and later reads are pruned by column. Inside `staging` they
+    are removed at its end; elsewhere they stay, since the caller may read them at any time.
+    """
+    path = shared_folder(df.sparkSession, name)
+    writer = df.write
+    if partition_cols:
+        writer = writer.partitionBy(*partition_cols)
+    writer.parquet(path)
+    if (paths := _staged.get()) is not None:
+        paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """What is staged inside belongs to one job and is removed when the job ends."""
+    token = _staged.set([])
+    try:
+        yield
+    finally:
+        paths = _staged.get()
+        _staged.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -9,7 +9,9 @@ from ..fixed import (
     DAILY_SCHEMA,
     DIM_SCHEMA,
     FACT_SCHEMA,
+    LOADS_SCHEMA,
     RANKING_SCHEMA,
+    REFRESHES_SCHEMA,
     STATION_SCHEMA,
 )
 
@@ -23,17 +25,9 @@ def read_api_bronze(spark: SparkSession, path: str, multi_line: bool = True) ->
     return spark.read.schema(API_FILE_SCHEMA).option("multiLine", multi_line).json(path)
 
 
-def stream_api_bronze(
-    spark: SparkSession,
-    path: str,
-    multi_line: bool = True,
-    max_files: int | None = None,
-) -> DataFrame:
-    """The same as a file stream; `max_files` bounds the files of one micro-batch."""
-    reader = spark.readStream.schema(API_FILE_SCHEMA).option("multiLine", multi_line)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+def stream_api_bronze(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The same as a file stream."""
+    return spark.readStream.schema(API_FILE_SCHEMA).option("multiLine", multi_line).json(path)
 
 
 def _csv(reader):
@@ -48,15 +42,11 @@ def read_csv_bronze(spark: SparkSession, path: str) -> DataFrame:
     return raw.toDF(*[name.strip().lower() for name in raw.columns])
 
 
-def stream_csv_bronze(
-    spark: SparkSession, path: str, max_files: int | None = None
-) -> DataFrame:
+def stream_csv_bronze(spark: SparkSession, path: str) -> DataFrame:
     """The same as a file stream; the column names come from one read of a header."""
     names = _csv(spark.read).csv(path).columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     reader = _csv(spark.readStream).schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(path).toDF(*[name.strip().lower() for name in names])
 
 
@@ -76,6 +66,24 @@ def read_fact(spark: SparkSession, path: str, missing_ok: bool = False) -> DataF
     return read_table(spark, path, FACT_SCHEMA, missing_ok)
 
 
+def read_loads(spark: SparkSession, fact_path: str) -> DataFrame:
+    """The ledger beside a fact table: which months each load may have added to."""
+    return read_table(spark, loads_path(fact_path), LOADS_SCHEMA, missing_ok=True)
+
+
+def loads_path(fact_path: str) -> str:
+    return fact_path.rstrip("/") + "_loads"
+
+
+def read_refreshes(spark: SparkSession, gold: str) -> DataFrame:
+    """The last load that each finished refresh of `gold` covers."""
+    return read_table(spark, refreshes_path(gold), REFRESHES_SCHEMA, missing_ok=True)
+
+
+def refreshes_path(gold: str) -> str:
+    return f"{gold}/refreshes"
+
+
 def read_dim(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
     return read_table(spark, path, DIM_SCHEMA, missing_ok)
 

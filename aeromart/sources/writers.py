@@ -5,7 +5,8 @@ splits where one partition is large and merges where many are small: neither one
 partition nor thousands of small files.
 """
 
-from py4j.protocol import Py4JJavaError
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -15,16 +16,15 @@ from ..fixed import (
     FACT_PARTITIONS,
     FACT_SCHEMA,
     LANDED_SOURCE,
+    LOADS_SCHEMA,
     MONTH_PARTITIONS,
     RANKING_SCHEMA,
+    REFRESHES_SCHEMA,
 )
 from ..operators.cleaning import new_only
 from ..operators.landing import landable
-from ..session import cut_lineage
-from .readers import read_ranking, read_table
-
-# Above this many distinct partitions the target is read without a partition filter.
-MAX_LISTED_PARTITIONS = 1000
+from ..session import stage, staging
+from .readers import loads_path, read_loads, read_ranking, read_table, refreshes_path
 
 
 def _laid_out(df: DataFrame, partition_cols) -> DataFrame:
@@ -33,10 +33,7 @@ def _laid_out(df: DataFrame, partition_cols) -> DataFrame:
 
 def _observed_rows(counted: Observation) -> int:
     """Rows seen during a finished write; 0 if AQE found it empty and left the counting out."""
-    try:
-        return counted.get["rows"]
-    except Py4JJavaError:
-        return 0
+    return counted.get.get("rows", 0)
 
 
 def _save(
@@ -61,20 +58,18 @@ def _save(
     return _observed_rows(counted)
 
 
-def touched_partitions(df: DataFrame, cols) -> list | None:
-    """Distinct partition values of `df`, or None if there are too many to list."""
-    listed = df.select(*cols).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    return [tuple(r) for r in listed] if len(listed) <= MAX_LISTED_PARTITIONS else None
-
+def span(df: DataFrame, cols) -> tuple[str | None, str | None]:
+    """Smallest and largest joined partition text of `df`; two Nones if it is empty."""
+    joined = F.concat_ws("/", *cols)
+    return tuple(df.agg(F.min(joined), F.max(joined)).first())
 
-def _is_one_of(cols, values) -> Column:
-    """Text columns equal to one of the listed rows, as one IN over their joined text."""
-    return F.concat_ws("/", *cols).isin(["/".join(row) for row in values])
 
-
-def in_partitions(df: DataFrame, cols, values) -> DataFrame:
-    """Rows in the listed partitions, as a filter that prunes folders; None keeps all."""
-    return df if values is None else df.filter(_is_one_of(cols, values))
+def in_span(df: DataFrame, cols, ends) -> DataFrame:
+    """Rows whose joined partition text lies within the span: a filter that prunes folders."""
+    low, high = ends
+    if low is None:
+        return df.filter(F.lit(False))
+    return df.filter(F.concat_ws("/", *cols).between(low, high))
 
 
 def insert_new(
@@ -89,14 +84,13 @@ def insert_new(
     """Append the rows of `batch` whose key the table at `path` does not hold; returns how many.
 
     Running it again with the same rows adds nothing, so a batch may be replayed. `prune_cols`
-    are partition columns that follow from the key: only those partitions are looked into.
+    are partition columns that follow from the key: only their span in the batch is looked into.
     The keys of `batch` must be unique; `batch` is read more than once.
     """
     spark = batch.sparkSession
     target = read_table(spark, path, schema or batch.schema, missing_ok=True)
     if prune_cols:
-        touched = touched_partitions(batch, prune_cols)
-        target = in_partitions(target, prune_cols, touched)
+        target = in_span(target, prune_cols, span(batch, prune_cols))
     return _save(new_only(batch, target, keys), path, "append", partition_cols, table)
 
 
@@ -104,8 +98,10 @@ def write_fact(df: DataFrame, path: str, table: str | None = None) -> int:
     """Append readings that are not in the fact table yet, by station and instant.
 
     Year and month follow from the instant, the city does not follow from the station, so
-    only the months of the batch are looked into, in every city.
+    only the span of months of the batch is looked into, in every city. The months are noted in the
+    ledger first: a load that breaks off may cost a refresh, but is never overlooked by one.
     """
+    note_load(df, path)
     return insert_new(
         df,
         path,
@@ -117,6 +113,21 @@ def write_fact(df: DataFrame, path: str, table: str | None = None) -> int:
     )
 
 
+def note_load(df: DataFrame, fact_path: str) -> None:
+    """Append the months of a batch to the ledger of the fact table, under the next load id."""
+    last = read_loads(df.sparkSession, fact_path).agg(F.max("load_id")).first()[0]
+    months = df.select(*MONTH_PARTITIONS).distinct()
+    noted = months.select(F.lit((last or 0) + 1).cast("bigint").alias("load_id"), *MONTH_PARTITIONS)
+    noted.select(*LOADS_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(loads_path(fact_path))
+
+
+def note_refresh(df: DataFrame, gold: str, load_id: int | None) -> None:
+    """Note that gold covers all loads up to `load_id`."""
+    row = [(load_id or 0, datetime.now(timezone.utc))]
+    noted = df.sparkSession.createDataFrame(row, REFRESHES_SCHEMA)
+    noted.coalesce(1).write.mode("append").parquet(refreshes_path(gold))
+
+
 def write_dim(df: DataFrame, path: str, replace: bool = False, table: str | None = None) -> int:
     """Append stations that are not in the dimension yet; a known station keeps its row.
 
@@ -144,14 +155,16 @@ def write_station_summary(
 def write_ranking(df: DataFrame, path: str, months=None, table: str | None = None) -> int:
     """Replace the unpartitioned ranking table.
 
-    With `months` (year and month pairs), `df` holds those months only: the rows of the other
-    months are kept. They are checkpointed first, since they come from the files being replaced.
+    With `months` (a table of years and months), `df` holds those months only: the rows of the other
+    months are kept. They are staged first, since they come from the files being replaced.
     """
-    if months is not None:
+    if months is None:
+        return _save(df, path, "overwrite", table=table)
+    with staging(df.sparkSession):
         held = read_ranking(df.sparkSession, path, missing_ok=True)
-        kept = held.filter(~_is_one_of(MONTH_PARTITIONS, months))
-        df = cut_lineage(kept.unionByName(df.select(*RANKING_SCHEMA.fieldNames())))
-    return _save(df, path, "overwrite", table=table)
+        kept = held.join(months, list(MONTH_PARTITIONS), "left_anti").select(*RANKING_SCHEMA.fieldNames())
+        merged = stage(kept.unionByName(df.select(*RANKING_SCHEMA.fieldNames())), "ranking")
+        return _save(merged, path, "overwrite", table=table)
 
 
 def land_bronze(
@@ -162,10 +175,22 @@ def land_bronze(
     A body is stored as it is, except that line breaks between its tokens become blanks: Spark
     puts many documents in one file, one per line. When it came and from where is kept beside
     it, in a Parquet table at `meta_path`, not in the document. Returns how many were kept.
-    `columns` name the columns of `responses`, as in `ingest_outcomes`.
+    `columns` name the columns of `responses`, as in `ingest_outcomes`. The rows are parsed once,
+    into a staging table; documents and metadata both come from it.
     """
+    with staging(responses.sparkSession):
+        kept = stage(_landed(responses, columns), "landing")
+        documents = kept.select("body", *BRONZE_PARTITIONS)
+        _laid_out(documents, BRONZE_PARTITIONS).write.mode("append").partitionBy(
+            *BRONZE_PARTITIONS
+        ).text(path)
+        beside = meta_path or path.rstrip("/") + "_metadata"
+        return _save(kept.drop("body"), beside, "append", MONTH_PARTITIONS)
+
+
+def _landed(responses: DataFrame, columns) -> DataFrame:
     at = F.col("ingested_at")
-    kept = landable(responses, **columns).select(
+    return landable(responses, **columns).select(
         F.regexp_replace("body", r"[\r\n]+\s*", " ").alias("body"),
         F.col("city").alias("queried_city"),
         F.date_format(at, "yyyy").alias("year"),
@@ -176,9 +201,3 @@ def land_bronze(
         "s3_key",
         F.lit(LANDED_SOURCE).alias("source"),
     )
-    documents = kept.select("body", *BRONZE_PARTITIONS)
-    _laid_out(documents, BRONZE_PARTITIONS).write.mode("append").partitionBy(
-        *BRONZE_PARTITIONS
-    ).text(path)
-    beside = meta_path or path.rstrip("/") + "_metadata"
-    return _save(kept.drop("body"), beside, "append", MONTH_PARTITIONS)

@@ -31,18 +31,21 @@ def run_pipeline(
     as_of: datetime,
     hours: float = STALE_HOURS,
     multi_line: bool = True,
-    full: bool = True,
+    full: bool = False,
+    tz: str | None = None,
+    tables: dict[str, str] | None = None,
     **checks,
 ) -> DataFrame:
     """Load new API files, check the silver tables and, only if all checks pass, refresh gold.
 
     Returns one row: the load's summary, the check counts and the outcome. A skipped load does
-    not stop the run: the checks decide. `checks` are passed on to `dq_check`; without `full`
-    only the months with new readings are rebuilt.
+    not stop the run: the checks decide. `checks` are passed on to `dq_check`; `full` and `tz` to
+    `refresh_gold`. `tables` registers what is written in the catalog: names for `fact`, `dim`,
+    `daily`, `ranking` and `station`.
     """
     fact_path, dim_path = f"{silver}/fact_aqi", f"{silver}/dim_station"
     load = run_incremental(
-        spark, src, checkpoint, fact_path, dim_path, as_of, hours, multi_line
+        spark, src, checkpoint, fact_path, dim_path, as_of, hours, multi_line, tables=tables
     )
     fact, dim = _or_none(read_fact, spark, fact_path), _or_none(read_dim, spark, dim_path)
     if fact is None and dim is None:
@@ -52,7 +55,9 @@ def run_pipeline(
     else:
         verdict = dq_summary(dq_check(fact, dim, as_of, **checks)).first()
     passed = verdict["quality_passed"]
-    done = refresh_gold(spark, fact_path, dim_path, gold, as_of, full) if passed else None
+    done = None
+    if passed:
+        done = refresh_gold(spark, fact_path, dim_path, gold, as_of, full, tz, tables)
     return load.withColumnsRenamed({"status": "load_status", "reason": "load_reason"}).select(
         "*",
         F.lit(passed).alias("quality_passed"),

@@ -14,15 +14,14 @@ from ..operators.cleaning import (
     complete,
     dedup_latest,
     flatten_api,
+    identified,
     latest_dim,
-    latest_of,
     recent,
     require_not_null,
     select_fact,
-    sightings,
 )
-from ..plans.silver import clean_csv, iso_stamp
-from ..session import cut_lineage, pin_utc
+from ..plans.silver import iso_stamp, typed_csv
+from ..session import pin_utc, stage, staging
 from ..sources.readers import stream_api_bronze, stream_csv_bronze
 from ..sources.writers import write_dim, write_fact
 
@@ -31,13 +30,18 @@ class _Totals:
     """Counts over the micro-batches of one run."""
 
     def __init__(self):
-        self.raw = self.fresh = self.stations = self.rows = 0
+        self.raw = self.fresh = self.stations = self.rows = self.dropped = 0
+
+    def add(self, counts) -> None:
+        self.raw += counts["raw"]
+        self.fresh += counts["fresh"]
+        self.dropped += counts["dropped"]
 
     def as_frame(self, spark: SparkSession, ingested_at: str, empty: str, stale: str) -> DataFrame:
         reason = empty if not self.raw else stale if not self.fresh else None
         status = "SKIPPED" if reason else "LOADED"
-        row = (status, reason, self.raw, self.fresh, self.stations, self.rows, ingested_at)
-        return spark.createDataFrame([row], RUN_SCHEMA)
+        counts = (self.raw, self.fresh, self.stations, self.rows, self.dropped)
+        return spark.createDataFrame([(status, reason, *counts, ingested_at)], RUN_SCHEMA)
 
 
 def _run(stream: DataFrame, checkpoint: str, batch_job) -> None:
@@ -59,36 +63,37 @@ def run_incremental(
     as_of: datetime | None = None,
     hours: float = STALE_HOURS,
     multi_line: bool = True,
-    max_files: int | None = None,
+    stamped_at: datetime | None = None,
+    tables: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Load the API files that no earlier run has read; returns one row about the run.
+    """Load the API files that no earlier run has read, as one batch; returns one row about the run.
 
-    The status is SKIPPED when there was nothing new or nothing fresh, else LOADED.
-    `max_files` splits a large backlog into micro-batches of that many files.
+    The status is SKIPPED when there was nothing new or nothing fresh, else LOADED. `as_of` decides
+    what is stale; the readings are stamped with the time of writing, or with `stamped_at`. Rows
+    without a station id are dropped and counted. `tables` may name the catalog tables `fact` and `dim`.
     """
     pin_utc(spark)
     as_of = as_of or datetime.now(timezone.utc)
-    stamp = iso_stamp(as_of)
-    totals = _Totals()
+    stamp = iso_stamp(stamped_at or datetime.now(timezone.utc))
+    totals, names = _Totals(), tables or {}
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        # Kept for the counts and the writes, which read them several times; a lost block is
-        # computed again from its files.
-        flat = flatten_api(batch, stamp).persist()
-        fresh = complete() & recent(as_of, hours)
-        readings = dedup_latest(flat.filter(fresh)).persist()
-        try:
-            counts = flat.agg(F.count("*").alias("raw"), F.count_if(fresh).alias("fresh")).first()
-            totals.raw += counts["raw"]
-            totals.fresh += counts["fresh"]
+        with staging(batch.sparkSession):
+            flat = stage(flatten_api(batch, stamp), "flat")
+            known = F.col("waqi_idx").isNotNull()
+            fresh = known & complete() & recent(as_of, hours)
+            counts = flat.agg(
+                F.count("*").alias("raw"),
+                F.count_if(fresh).alias("fresh"),
+                F.count_if(~known).alias("dropped"),
+            ).first()
+            totals.add(counts)
             if counts["fresh"]:
-                totals.stations += write_dim(latest_dim(readings), dim_path)
-                totals.rows += write_fact(select_fact(readings), fact_path)
-        finally:
-            readings.unpersist()
-            flat.unpersist()
+                readings = stage(dedup_latest(flat.filter(fresh)), "readings")
+                totals.stations += write_dim(latest_dim(readings), dim_path, table=names.get("dim"))
+                totals.rows += write_fact(select_fact(readings), fact_path, table=names.get("fact"))
 
-    _run(stream_api_bronze(spark, src, multi_line, max_files), checkpoint, load)
+    _run(stream_api_bronze(spark, src, multi_line), checkpoint, load)
     return totals.as_frame(
         spark, stamp, "no new records", f"all records are incomplete or older than {hours}h"
     )
@@ -102,35 +107,33 @@ def load_csv_once(
     dim_path: str,
     as_of: datetime | None = None,
     mapping=CITY_KEYWORDS,
-    max_files: int | None = None,
+    tables: dict[str, str] | None = None,
 ) -> DataFrame:
     """Load the historical CSV files; a file that was loaded before is never read again.
 
-    The files are read twice: once for the distinct station attributes and the counts, which are
-    few and kept in memory, and once for the readings, which are checkpointed.
+    The files are parsed once, into a staging table; counts, stations and readings come from it.
+    `as_of` is the stamp of the readings. `tables` may name the catalog tables `fact` and `dim`.
     """
     pin_utc(spark)
-    as_of = as_of or datetime.now(timezone.utc)
-    stamp = iso_stamp(as_of)
-    totals = _Totals()
+    stamp = iso_stamp(as_of or datetime.now(timezone.utc))
+    totals, names = _Totals(), tables or {}
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        clean = clean_csv(batch, stamp, mapping)
-        stations = sightings(clean).persist()
-        try:
-            counts = stations.agg(
-                F.coalesce(F.sum("rows"), F.lit(0)).alias("raw"),
-                F.coalesce(F.sum("complete_rows"), F.lit(0)).alias("fresh"),
+        with staging(batch.sparkSession):
+            typed = stage(typed_csv(batch, stamp, mapping), "typed")
+            known = F.col("waqi_idx").isNotNull()
+            counts = typed.agg(
+                F.count_if(known).alias("raw"),
+                F.count_if(known & complete()).alias("fresh"),
+                F.count_if(~known).alias("dropped"),
             ).first()
-            totals.raw += counts["raw"]
-            totals.fresh += counts["fresh"]
-            totals.stations += write_dim(latest_of(stations), dim_path)
-        finally:
-            stations.unpersist()
-        if counts["fresh"]:
-            # The insert reads its batch several times: once for the months, twice for the keys.
-            readings = cut_lineage(select_fact(dedup_latest(require_not_null(clean))))
-            totals.rows += write_fact(readings, fact_path)
-
-    _run(stream_csv_bronze(spark, src, max_files), checkpoint, load)
+            totals.add(counts)
+            clean = identified(typed)
+            totals.stations += write_dim(latest_dim(clean), dim_path, table=names.get("dim"))
+            if counts["fresh"]:
+                # The insert reads its batch several times: for the months and for the keys.
+                readings = stage(select_fact(dedup_latest(require_not_null(clean))), "readings")
+                totals.rows += write_fact(readings, fact_path, table=names.get("fact"))
+
+    _run(stream_csv_bronze(spark, src), checkpoint, load)
     return totals.as_frame(spark, stamp, "already loaded", "no valid records")

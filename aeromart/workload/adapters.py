@@ -108,6 +108,34 @@ def fact_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hourly_fact_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with hours: three per line number after midnight UTC, so that some local days are the next."""
+    fact = fact_from_lineitem(spark, sf_dir)
+    hours = F.make_dt_interval(F.lit(0), F.col("temperature").cast("int") * 3)
+    return _as_fact(fact.withColumn("measured_at", F.col("measured_at") + hours))
+
+
+def documents_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One indented API document per supplier, with the folders it belongs to."""
+    document = F.concat(
+        F.lit('{\n  "status": "ok",\n  "data": {\n    "idx": '),
+        F.col("s_suppkey"),
+        F.lit(',\n    "aqi": '),
+        F.when(F.col("s_acctbal") < 0, '"-"').otherwise(F.col("s_suppkey").cast("string")),
+        F.lit(',\n    "dominentpol": "pm25",\n    "city": {\n      "name": "'),
+        F.col("s_name"),
+        F.lit('"\n    },\n    "time": {\n      "iso": "2024-01-02T03:00:00+07:00"\n    }\n  }\n}'),
+    )
+    day = (F.col("s_suppkey") % 3 + 1).cast("string")
+    return table(spark, sf_dir, "supplier").select(
+        document.alias("value"),
+        F.concat(F.lit("city-"), F.col("s_nationkey") % 5).alias("queried_city"),
+        F.lit("2024").alias("year"),
+        F.lit("01").alias("month"),
+        F.lpad(day, 2, "0").alias("day"),
+    )
+
+
 def dim_from_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
     return supplier.join(
@@ -213,9 +241,13 @@ def csv_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 21 dirty text columns of the historical CSV; a customer is a station."""
     price, status, priority = F.col("o_totalprice"), F.col("o_orderstatus"), F.col("o_orderpriority")
     name = F.create_map(*[F.lit(x) for pair in CSV_NAMES.items() for x in pair])[priority]
-    at = _instant("o_orderdate")
+    at, rest = _instant("o_orderdate"), F.col("o_orderkey") % 13
     text = {
-        "Station ID": F.col("o_custkey"),
+        # Ids that are no whole number in range: their rows are to be dropped, not merged.
+        "Station ID": F.when(rest == 0, F.concat(F.lit("A"), F.col("o_custkey")))
+        .when(rest == 1, F.concat(F.col("o_custkey"), F.lit(".0")))
+        .when(rest == 2, (F.col("o_custkey") + F.lit(3_000_000_000)).cast("string"))
+        .otherwise(F.col("o_custkey").cast("string")),
         "AQI index": F.when(price > 400000, "-").otherwise((price / 1000).cast("string")),
         "Location": F.when(
             priority == "2-HIGH", (F.length(name) + F.lit(0.5)).cast("string")

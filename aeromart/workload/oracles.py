@@ -311,7 +311,7 @@ named AS (
     CASE o_orderpriority
       WHEN '1-URGENT' THEN 'ha-noi' WHEN '2-HIGH' THEN 'ho-chi-minh-city'
       WHEN '3-MEDIUM' THEN 'da-nang' WHEN '4-NOT SPECIFIED' THEN 'da-nang' END AS queried_city
-  FROM orders WHERE o_totalprice >= 5000
+  FROM orders WHERE o_totalprice >= 5000 AND o_orderkey % 13 > 2
 ),
 clean AS (
   SELECT CAST(o_custkey AS INTEGER) AS waqi_idx, queried_city, station_name,
@@ -420,7 +420,7 @@ def _fact_report(cutoff: str, source: str = "fact", sampled: str | None = None)
         _report_row(
             "source_validity", "fact_aqi", "source", f"len({invalid})", 0, f"len({invalid}) = 0",
             f"CASE WHEN len({invalid}) = 0 THEN 'All sources valid' "
-            f"ELSE 'Invalid sources: ' || {_listing(invalid)} END",
+            f"ELSE 'Invalid sources: ' || len({invalid}) END",
         ),
         _report_row(
             "freshness", "fact_aqi", "ingested_at", fresh, 1, f"{fresh} > 0",
@@ -460,8 +460,9 @@ damaged AS (
   SELECT * REPLACE (
     CASE WHEN dominant_pollutant <> 'error'
          THEN CASE WHEN aqi < 1 THEN -aqi ELSE aqi * 2 END END AS aqi,
-    CASE WHEN dominant_pollutant = 'signup' THEN 'sensor'
-         WHEN dominant_pollutant = 'click' THEN 'buoy'
+    CASE WHEN dominant_pollutant = 'signup' THEN ''
+         WHEN dominant_pollutant = 'click' THEN 'null'
+         WHEN dominant_pollutant = 'purchase' THEN 'a,b'
          WHEN dominant_pollutant <> 'view' THEN source END AS source,
     replace(queried_city, 'ASIA', 'OCEANIA') AS queried_city)
   FROM fact
@@ -793,3 +794,44 @@ ORACLES["union_rows"] = ORACLES["insert_new"] = _with(
     "SELECT * FROM held UNION ALL SELECT * FROM dim "
     "WHERE waqi_idx NOT IN (SELECT waqi_idx FROM held)",
 )
+
+ORACLES["refresh_backfill"] = ORACLES["write_read_daily"]
+ORACLES["refresh_backfill_ranking"] = ORACLES["write_read_ranking"]
+ORACLES["refresh_backfill_station"] = ORACLES["write_read_station"]
+ORACLES["unexpected_values"] = _with(
+    EVENTS_FACT,
+    DAMAGED,
+    "SELECT DISTINCT source FROM damaged WHERE source NOT IN ('kaggle', 'api')",
+)
+ORACLES["read_csv_headers"] = ORACLES["clean_csv_rows"]
+_HOURLY = LINEITEM_FACT.replace("fact AS (", "dated_fact AS (", 1) + """,
+moved AS (SELECT * REPLACE (measured_at + CAST(temperature * 3 AS INTEGER) * INTERVAL 1 HOUR AS measured_at) FROM dated_fact),
+fact AS (SELECT * REPLACE (strftime(measured_at + INTERVAL 7 HOUR, '%Y') AS year,
+                           strftime(measured_at + INTERVAL 7 HOUR, '%m') AS month) FROM moved)"""
+ORACLES["city_ranking_local_days"] = _with(
+    _HOURLY, _daily_ctes(7), MONTHLY, RANKING, "SELECT * FROM ranking"
+)
+ORACLES["read_indented_bronze"] = f"""
+SELECT CAST(s_suppkey AS INTEGER) AS waqi_idx, s_name AS station_name, CAST(NULL AS VARCHAR) AS url,
+       {_ABSENT} AS lat, {_ABSENT} AS lon, 'city-' || (s_nationkey % 5) AS queried_city,
+       TIMESTAMP '2024-01-01 20:00:00' AS measured_at,
+       CASE WHEN s_acctbal >= 0 THEN CAST(s_suppkey AS DOUBLE) END AS aqi,
+       'pm25' AS dominant_pollutant, {_ABSENT} AS pm25, {_ABSENT} AS pm10, {_ABSENT} AS co,
+       {_ABSENT} AS no2, {_ABSENT} AS o3, {_ABSENT} AS so2, {_ABSENT} AS humidity,
+       {_ABSENT} AS temperature, {_ABSENT} AS pressure, {_ABSENT} AS wind
+FROM supplier"""
+ORACLES["tables_registered"] = _with(
+    FLAT,
+    FRESH,
+    READINGS,
+    f"stations AS ({_latest_dim('readings')})",
+    """
+SELECT 'fact' AS name, (SELECT count(*) FROM readings) AS rows
+UNION ALL SELECT 'dim', (SELECT count(*) FROM stations)
+UNION ALL SELECT 'daily',
+  (SELECT count(DISTINCT (queried_city, CAST(measured_at AS DATE))) FROM readings)
+UNION ALL SELECT 'ranking',
+  (SELECT count(DISTINCT (queried_city, date_trunc('month', measured_at))) FROM readings)
+UNION ALL SELECT 'station',
+  (SELECT count(DISTINCT (waqi_idx, queried_city, date_trunc('month', measured_at))) FROM readings)""",
+)

@@ -162,7 +162,7 @@ def test_aggregates(spark):
     df = spark.createDataFrame(rows, "k string, v double")
     got = df.agg(
         fn.mean2("v"),
-        fn.distinct_text("k"),
+        fn.distinct_text("k", ("a", "b", "c")),
         fn.distinct_count("k"),
         fn.count_where(F.col("v") > 1),
         fn.pct(fn.count_where(F.col("v").isNull()), F.count("*")),

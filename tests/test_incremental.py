@@ -68,11 +68,28 @@ def test_a_known_station_keeps_its_row(lake):
     assert [(r["lat"], r["lon"]) for r in am.read_dim(lake.spark, lake.dim).collect()] == [(1.0, 2.0)]
 
 
-def test_a_backlog_in_small_batches_gives_the_same_table(lake):
-    docs = [document(i, iso=f"2026-04-12T0{h}:00:00+07:00") for i in (1, 2) for h in range(4)]
-    write_documents(lake.src, docs + docs)
-    assert lake.load(max_files=3) == ("LOADED", 16, 16, 2, 8)
-    assert lake.rows().count() == 8
+@pytest.mark.parametrize("order", [(90, 80, 70), (70, 90, 80), (80, 70, 90)])
+def test_the_order_of_the_files_does_not_matter(lake, order):
+    write_documents(lake.src, [document(1, aqi=aqi) for aqi in order])
+    assert lake.load() == ("LOADED", 3, 3, 1, 1)
+    assert [r["aqi"] for r in lake.rows().collect()] == [70]
+
+
+def test_readings_without_a_station_are_dropped_and_counted(lake):
+    write_documents(lake.src, [document(1), document(None), document(2)])
+    run = am.run_incremental(
+        lake.spark, str(lake.src), str(lake.root / "c"), lake.fact, lake.dim, AS_OF
+    ).first()
+    assert (run["raw_rows"], run["fresh_rows"], run["dropped_rows"]) == (3, 2, 1)
+    assert sorted(r["waqi_idx"] for r in lake.rows().collect()) == [1, 2]
+
+
+def test_csv_ids_that_are_no_numbers_are_not_one_station(spark, history, tmp_path):
+    src = history(*[csv_line(station=s) for s in ("7", "A7", "12.0", "3000000000")])
+    run = am.load_csv_once(
+        spark, src, str(tmp_path / "c"), str(tmp_path / "fact"), str(tmp_path / "dim")
+    ).first()
+    assert (run["raw_rows"], run["new_stations"], run["new_rows"], run["dropped_rows"]) == (1, 1, 1, 3)
 
 
 def test_csv_is_loaded_once(spark, history, tmp_path):
@@ -96,7 +113,7 @@ def test_csv_is_loaded_once(spark, history, tmp_path):
 
 
 def test_insert_looks_into_the_months_of_the_batch_only(spark, tmp_path):
-    from aeromart.sources.writers import in_partitions, touched_partitions
+    from aeromart.sources.writers import in_span, span
 
     rows = spark.createDataFrame(
         [(1, "x", "2024", "01"), (2, "x", "2024", "02"), (3, "y", "2024", "02")],
@@ -105,14 +122,13 @@ def test_insert_looks_into_the_months_of_the_batch_only(spark, tmp_path):
     path = str(tmp_path / "t")
     rows.write.partitionBy("queried_city", "year", "month").parquet(path)
     table = spark.read.schema(rows.schema).parquet(path)
-    months = touched_partitions(rows.filter("id > 1"), ("year", "month"))
-    assert months == [("2024", "02")]
-    kept = in_partitions(table, ("year", "month"), months)
+    months = span(rows.filter("id > 1"), ("year", "month"))
+    assert months == ("2024/02", "2024/02")
+    kept = in_span(table, ("year", "month"), months)
     assert sorted(r["id"] for r in kept.collect()) == [2, 3]
     scan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(concat_ws" in scan
-    assert in_partitions(table, ("year", "month"), []).count() == 0
-    assert in_partitions(table, ("year", "month"), None).count() == 3
+    assert in_span(table, ("year", "month"), span(rows.filter("false"), ("year", "month"))).count() == 0
 
 
 def test_tables_in_the_catalog(spark, tmp_path):

@@ -72,7 +72,7 @@ def test_messages_of_faults(spark):
     bad = bad.filter(~F.col("queried_city").isin("gia-lai", "da-nang"))
     report = am.dq_check(bad, dim(spark, ["ha-noi"]), AS_OF)
     said = {r["check"]: r["message"] for r in report.collect()}
-    assert said["source_validity"] == "Invalid sources: ['a', 'b']"
+    assert said["source_validity"] == "Invalid sources: 2"
     assert said["city_coverage"] == "Missing cities: ['da-nang', 'gia-lai']"
     assert said["dim_station_city_coverage"] == (
         "Stations missing for cities: ['cao-bang', 'da-nang', 'gia-lai', 'ho-chi-minh-city']"
@@ -96,11 +96,20 @@ def test_tables_that_could_not_be_read(spark):
         am.dq_check(None, None, AS_OF)
 
 
-def test_sampling_limits_the_rows_judged_but_not_freshness(spark):
-    report = am.dq_check(fact(spark), dim(spark), AS_OF, sample_rows=12)
-    values = {r["check"]: r["value"] for r in report.collect()}
-    assert (values["row_count"], values["freshness"]) == (12.0, 15.0)
-    assert report.count() == 11
+def test_sources_are_counted_exactly(spark):
+    city = F.col("queried_city")
+    odd = fact(spark).withColumn(
+        "source",
+        F.when(city == CITIES[0], "")
+        .when(city == CITIES[1], "null")
+        .when(city == CITIES[2], "a,b")
+        .otherwise("api"),
+    )
+    report = {r["check"]: r for r in am.dq_check(odd, dim(spark), AS_OF).collect()}
+    found = report["source_validity"]
+    assert (found["value"], found["passed"], found["message"]) == (3.0, False, "Invalid sources: 3")
+    values = am.unexpected_values(odd, "source", ("kaggle", "api")).collect()
+    assert sorted(r["source"] for r in values) == ["", "a,b", "null"]
 
 
 def test_own_thresholds(spark):
