@@ -7,8 +7,10 @@
    expected t k. In one order of all values, rarest first, such sketches must then
    share a value among their first k - s + 1. Only those values are listed, and only where a second class has
    the value, so a passage that many documents share puts none of them on a list.
-3. Candidates. Lists of up to SHORT classes give their pairs. On a longer list a few hubs are compared with
-   the members outside their component, in rounds with more hubs each, until the list
+   The place of a value in that order also bounds what two sets of given sizes can share.
+3. Candidates. Lists of up to SHORT classes give their pairs. Classes on longer lists are listed anew by
+   their full sets, where the bounds are exact. On a list that is still long, a hub is compared with
+   the members outside its component, in rounds with more hubs each, until the list
    lies in one component or each member has been a hub. A group of thousands of near copies is
    thereby joined without all its pairs, and no link between components is missed.
 4. The k smallest values of the union of two sketches are a sample of the union of the sets: pairs whose share of common
@@ -35,7 +37,7 @@ SKETCH = 128
 #: A link may share so many standard deviations fewer sketch values than expected (one in three million does not).
 DEVIATIONS = 5
 SHORT = 40
-FIRST_HUBS, GROWTH = 2, 8
+GROWTH = 64
 
 
 @dataclass(frozen=True)
@@ -75,9 +77,11 @@ class Rule:
         sampled = k * m + DEVIATIONS * F.sqrt(k * m * (1 - m)) + 1
         return F.when((n <= k) & (other <= k), n - common).when((n > k) & (other > k), sampled).otherwise(k)
 
-    def may_meet(self, n_a: Column, at_a: Column, n_b: Column, at_b: Column) -> Column:
-        """May two sets be similar whose rarest common sketch value has the places at_a and at_b in their order?"""
-        return self.sizes_fit(n_a, n_b) & (at_a <= self.missing(n_a, n_b)) & (at_b <= self.missing(n_b, n_a))
+    def may_meet(self, n_a: Column, at_a: Column, n_b: Column, at_b: Column, exact: bool) -> Column:
+        """May two sets be similar whose rarest common value has the places at_a and at_b in their order? `exact` for full sets."""
+        common = (n_a + n_b) * self.percent / (100 + self.percent)
+        most_a, most_b = (n_a - common, n_b - common) if exact else (self.missing(n_a, n_b), self.missing(n_b, n_a))
+        return self.sizes_fit(n_a, n_b) & (at_a <= most_a + 1e-6) & (at_b <= most_b + 1e-6)
 
     def similar(self, common: Column, union: Column) -> Column:
         return common * 100 >= union * self.percent
@@ -120,15 +124,16 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(class, all): the whole sets of the rows (class, text)."""
+    """(class, set, all): the whole sets of the rows (class, text), and a hash of each."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in W.blocks(batches, "text"):
             own = list(shingle_sets(block["text"], rule.shingle))
             offsets = np.cumsum([0, *map(len, own)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([block["class"], pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(own)))], names=["class", "all"])
+            marks = pa.array(np.array([W.mixed(x.view(np.uint64)).sum(dtype=np.uint64) for x in own], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([block["class"], marks, pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(own)))], names=["class", "set", "all"])
 
-    return docs.mapInArrow(run, "class long, all array<long>")
+    return docs.mapInArrow(run, "class long, set long, all array<long>")
 
 
 class _Search:
@@ -140,21 +145,21 @@ class _Search:
         filled = self.documents.where("n > 0")
         #: One row per distinct set: its smallest id, its size and its sketch.
         self.classes = staged(filled.groupBy("high", "low", "n").agg(F.min("doc_id").alias("class"), F.min_by("sketch", "doc_id").alias("sketch")), "classes")
-        self.lists = staged(self._lists(), "lists")
+        values = self.classes.select("class", "n", F.col("high").alias("set"), F.explode("sketch").alias("value"))
+        kept = F.least(F.col("n"), F.lit(rule.sketch))
+        self.lists = staged(self._listed(values, kept, rule.listed(F.col("n"))), "lists")
         counts = self.lists.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
         self.counts = staged(counts, "counts")
         needed = self.lists.join(self.counts, "value", "left_semi").select("class").distinct()
         texts = docs.select(F.col("doc_id").alias("class"), "text").join(needed, "class", "left_semi")
         self.sets = staged(full_sets(texts, rule), "sets")
 
-    def _lists(self) -> DataFrame:
-        """(value, class, n, place): the first values of each sketch, rarest first, without those that one class alone has."""
-        values = self.classes.select("class", "n", F.explode("sketch").alias("value"))
+    def _listed(self, values: DataFrame, kept: Column, budget: Column) -> DataFrame:
+        """(value, class, n, place): the first `budget` of the `kept` values of each set, rarest first, without those that one set alone has."""
         common = values.groupBy("value").agg(F.count("*").alias("held")).where("held > 1")
-        own = values.join(common, "value").groupBy("class", "n").agg(F.sort_array(F.collect_list(F.struct("held", "value"))).alias("own"))
-        alone = F.least("n", F.lit(self.rule.sketch)) - F.size("own")
-        first = (self.rule.listed(F.col("n")) - alone).cast("int")
-        listed = own.select("class", "n", alone.alias("alone"), first.alias("first"), "own").where("first > 0")
+        own = values.join(common, "value").groupBy("class", "set", "n").agg(F.sort_array(F.collect_list(F.struct("held", "value"))).alias("own"))
+        alone = kept - F.size("own")
+        listed = own.select("class", "n", alone.cast("int").alias("alone"), (budget - alone).cast("int").alias("first"), "own").where("first > 0")
         listed = listed.select("class", "n", "alone", F.posexplode(F.slice("own", F.lit(1), F.col("first"))).alias("at", "v"))
         return listed.select("v.value", "class", "n", (F.col("alone") + F.col("at")).cast("int").alias("place"))
 
@@ -169,7 +174,8 @@ class _Search:
         near = (F.size("own_a") - both <= self.rule.missing(F.col("n_a"), F.col("n_b"))) & (F.size("own_b") - both <= self.rule.missing(F.col("n_b"), F.col("n_a")))
         likely = sides.where(near).withColumn("union", union)
         likely = likely.where((common >= self.rule.shared_of_full) | ((F.size("union") < k) & self.rule.similar(common, F.size("union"))))
-        whole = likely.select("a", "b").join(self.sets.toDF("a", "all_a"), "a").join(self.sets.toDF("b", "all_b"), "b")
+        sets = self.sets.select("class", "all")
+        whole = likely.select("a", "b").join(sets.toDF("a", "all_a"), "a").join(sets.toDF("b", "all_b"), "b")
         shared = F.size(F.array_intersect("all_a", "all_b"))
         return whole.where(self.rule.similar(shared, F.size("all_a") + F.size("all_b") - shared)).select("a", "b").distinct()
 
@@ -181,21 +187,45 @@ class _Search:
         return members.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
     def links(self) -> DataFrame:
-        long = self.counts.where(F.col("members") > SHORT)
-        links, known = self._by_hubs(self.lists.join(long.select("value"), "value", "left_semi"))
-        short = self.lists.join(self.counts.where(F.col("members") <= SHORT).select("value"), "value", "left_semi")
-        members = self.labelled(short, known)
+        """Links that join the components of all similar pairs."""
+        long = self.counts.where(F.col("members") > SHORT).select("value")
+        short = self.lists.join(long, "value", "left_anti")
+        found = known = None
+        if not long.isEmpty():
+            inside = self.lists.join(long, "value", "left_semi").select("class").distinct()
+            found = self._of_full_sets(inside)
+            known = components(found).toDF("class", "component")
+        last = self._all_pairs(short, known, exact=False)
+        return last if found is None else found.unionByName(last)
+
+    def _of_full_sets(self, classes: DataFrame) -> DataFrame:
+        """Links between classes of long lists, from lists of their full sets, where nothing is left to chance."""
+        sets = self.sets.join(classes, "class", "left_semi")
+        n = F.size("all").cast("long").alias("n")
+        values = sets.select("class", "set", n, F.explode("all").alias("value"))
+        budget = F.col("n") - F.floor((F.col("n") * self.rule.percent + 99) / 100) + 1
+        lists = staged(self._listed(values, F.col("n"), budget), "full-lists")
+        long = staged(lists.groupBy("value").count().where(F.col("count") > SHORT).select("value"), "full-long")
+        links, known = self._by_hubs(lists.join(long, "value", "left_semi"))
+        rest = self._all_pairs(lists.join(long, "value", "left_anti"), known, exact=True)
+        return rest if links is None else links.unionByName(rest)
+
+    def _all_pairs(self, members: DataFrame, known: DataFrame | None, exact: bool) -> DataFrame:
+        """Links among the members of short lists that are not yet in one component."""
+        members = self.labelled(members, known)
         a, b = (members.select("value", *(F.col(c).alias(f"{c}_{side}") for c in ("class", "n", "place", "component"))) for side in "ab")
         apart = (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b"))
-        apart &= self.rule.may_meet(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"))
+        apart &= self.rule.may_meet(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), exact)
         pairs = a.join(b, (a["value"] == b["value"]) & apart).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
-        found = staged(self.confirmed(pairs), "links")
-        return found if links is None else found.unionByName(links)
+        return staged(self.confirmed(pairs), "links")
 
     def _by_hubs(self, members: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-        """Links found on long lists, and (class, component) of the classes that they join."""
+        """Links found on long lists of full sets, and (class, component) of the classes that they join.
+
+        The first hub of a list is the member with the fewest rarer values, which is the likeliest to be near all others.
+        """
         links = known = used = None
-        salts = FIRST_HUBS
+        salts = 1
         state = staged(self.labelled(members, None), "state")
         while True:
             open_lists = state.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("value")
@@ -203,11 +233,11 @@ class _Search:
             if used is not None:
                 free = free.join(used, ["value", "class"], "left_anti")
             salt = F.pmod(F.xxhash64("class"), F.lit(salts))
-            hubs = staged(free.groupBy("value", salt.alias("salt")).agg(F.min(F.struct("class", "n", "place", "component")).alias("hub")), "hubs")
+            hubs = staged(free.groupBy("value", salt.alias("salt")).agg(F.min(F.struct("place", "class", "n", "component")).alias("hub")), "hubs")
             if hubs.isEmpty():
                 return links, known
             apart = (state["class"] != F.col("hub.class")) & (state["component"] != F.col("hub.component"))
-            apart &= self.rule.may_meet(state["n"], state["place"], F.col("hub.n"), F.col("hub.place"))
+            apart &= self.rule.may_meet(state["n"], state["place"], F.col("hub.n"), F.col("hub.place"), exact=True)
             pairs = state.join(hubs.withColumnRenamed("value", "at"), (F.col("value") == F.col("at")) & apart)
             pairs = pairs.select(F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")).distinct()
             found = staged(self.confirmed(pairs), "links")
