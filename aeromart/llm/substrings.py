@@ -5,7 +5,7 @@ words, so equal windows have equal minimisers, and neighbouring windows mostly s
 maximal run of windows with one minimiser travels as one packed string (a 64-bit fingerprint per
 window) to the minimiser's bucket. There the fingerprints are sorted; within a bucket equal
 fingerprints are equal windows, and all but the first in document order are repeats. (Two different
-windows would have to agree in the minimiser and in an independent 64-bit fingerprint.)
+windows would have to agree in 32 bits of the minimiser and in an independent 64-bit fingerprint.)
 
 Hot keys. A window that occurs again within a block of text is known as a repeat at once and does
 not travel, so a passage of a third of all documents is sent once per block. Minimisers are first
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from aeromart.llm import words as W
 
 SIZE = 20
-GRAM = 5
+GRAM = 4
 BINS = 1 << 16
 HOT, HOT_LEAST = 8, 1000
 #: A reducer sorts at least so many fingerprints at a time, if its partition has them.
@@ -36,7 +36,7 @@ PIECE = 1 << 20
 #: Stands for a missing id, which is later than any other.
 NO_ID = 2**63 - 1
 
-_OCCURRENCES = "key long, id long, place long, n long, windows binary"
+_OCCURRENCES = "key int, id long, place long, n int, windows binary"
 
 
 class _Windows:
@@ -138,17 +138,18 @@ def _occurrences(size: int, hot: np.ndarray) -> Callable[[Iterable[pa.RecordBatc
             head, length, ids, places = found.rows(new, breaks | alone)
             offsets = np.append(head, len(prints)).astype(np.int32) * 8
             packed = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(prints.tobytes())])
-            yield _batch(key[head].view(np.int64), ids, places, np.zeros(len(head), np.int64), packed)
+            yield _batch(key[head], ids, places, np.zeros(len(head), np.int64), packed)
             head, length, ids, places = found.rows(repeat, np.zeros(int(repeat.sum()), bool))
             if len(head):
-                keys = W.mixed(ids.view(np.uint64) + places.view(np.uint64)).view(np.int64)
+                keys = W.mixed(ids.view(np.uint64) + places.view(np.uint64))
                 yield _batch(keys, ids, places, length, pa.array([b""] * len(head), pa.binary()))
 
     return run
 
 
 def _batch(key: np.ndarray, ids: np.ndarray, places: np.ndarray, n: np.ndarray, packed: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids), pa.array(places), pa.array(n), packed], names=["key", "id", "place", "n", "windows"])
+    bucket = (key >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ids), pa.array(places), pa.array(n.astype(np.int32)), packed], names=["key", "id", "place", "n", "windows"])
 
 
 def _resolve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +163,7 @@ def _resolve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = np.frombuffer(packed.buffers()[2], np.uint64, (bounds[-1] - bounds[0]) // 8, bounds[0]) if bounds[-1] > bounds[0] else np.zeros(0, np.uint64)
         values, lengths = W.runs(np.sort(prints))
         twice = values[lengths > 1]
-        out = [(ids[known], places[known], n[known])]
+        out = [(ids[known], places[known], n[known].astype(np.int64))]
         if len(twice):
             spot = np.minimum(np.searchsorted(twice, prints), len(twice) - 1)
             among = np.flatnonzero(twice[spot] == prints)
