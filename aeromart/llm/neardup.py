@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from aeromart.llm import words as W
 from aeromart.llm.components import components
 from aeromart.llm.staging import staged
+from aeromart.session import staging
 
 SKETCH = 128
 #: A link may share so many standard deviations fewer sketch values than expected (one in three million does not).
@@ -256,17 +257,19 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa:
     Texts are compared in lower-case ASCII letters. Documents with a null, empty or wordless text are
     linked with nothing and kept. Rows that share an id are one document: links of any of their texts
     count, and every row gets the same component. A row without an id has no component and is kept.
-    Other columns are not read.
+    Other columns are not read. The result is written to the shared folder, and all tables on the way to it are removed.
     """
-    search = _Search(docs, rule)
-    found = components(search.links()).toDF("class", "component")
-    sets = search.classes.select("high", "low", F.col("n").alias("size"), "class").join(found, "class", "left")
-    sets = sets.select("high", "low", "size", F.coalesce("component", "class").alias("component"))
-    own = search.documents
-    same = (own["n"] == sets["size"]) & (own["high"] == sets["high"]) & (own["low"] == sets["low"])
-    rows = own.join(sets, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-    lone = sketches(docs.where("doc_id IS NULL"), rule).select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return rows.unionByName(lone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    with staging(docs.sparkSession):
+        search = _Search(docs, rule)
+        found = components(search.links()).toDF("class", "component")
+        sets = search.classes.select("high", "low", F.col("n").alias("size"), "class").join(found, "class", "left")
+        sets = sets.select("high", "low", "size", F.coalesce("component", "class").alias("component"))
+        own = search.documents
+        same = (own["n"] == sets["size"]) & (own["high"] == sets["high"]) & (own["low"] == sets["low"])
+        rows = own.join(sets, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+        lone = sketches(docs.where("doc_id IS NULL"), rule).select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+        found = rows.unionByName(lone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        return staged(found, "components", keep=True)
 
 
 def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008
