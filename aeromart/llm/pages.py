@@ -8,24 +8,27 @@ aligned with those of its neighbour by longest common subsequence, and shared li
 article are deleted, unless the pages share most of their text, which makes them copies and not
 pages of one template.
 
-Pages are dealt out by host and by the path without its last two characters, so that neighbours
-meet and a host with a third of all pages is spread over many tasks. Blocks of more than BLOCK_PAGES pages
-are split further by page id. A task reads its pages in order and holds two at a time. The html is shuffled once.
+Pages are dealt out in ranges of (host, path, url, id), all of about the same number of pages, so that a host with
+a third of all pages is spread over many tasks. The last page of a range and the first of the next are
+sent to both, so that every page meets its nearest neighbours wherever a range ends. A task reads its pages in
+order and holds three at a time. The html is shuffled once.
 """
 
 import html
+import os
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeromart.llm.staging import staged
 from aeromart.llm.words import blocks
 
 BLOCK_PAGES = 2000
+#: So many ranges for each shuffle partition at least, for even tasks.
+RANGES = 3
 #: Pages that share so much of their text outside articles are copies.
 COPY_SHARE = 0.7
 
@@ -173,37 +176,74 @@ def common_lines(own: list[str], other: list[str]) -> set[int]:
     return found
 
 
-def main_text(page: Page, neighbour: Page | None) -> str:
-    """The lines that are text, joined by an empty line."""
-    shared = common_lines(page.texts, neighbour.texts) if neighbour else set()
+def main_text(page: Page, *neighbours: Page | None) -> str:
+    """The lines that are text, joined by an empty line. The nearest neighbour comes first; of a copy the next one is asked."""
     loose = [i for i, (c, a) in enumerate(zip(page.content, page.article, strict=True)) if c and not a]
-    if loose and sum(len(page.texts[i]) for i in loose if i in shared) >= COPY_SHARE * sum(len(page.texts[i]) for i in loose):
-        shared = set()
     inside = [i for i, (c, a) in enumerate(zip(page.content, page.article, strict=True)) if c and a]
-    return "\n\n".join(page.texts[i] for i in inside or [i for i in loose if i not in shared])
+    if inside:
+        return "\n\n".join(page.texts[i] for i in inside)
+    for other in neighbours:
+        shared = common_lines(page.texts, other.texts) if other else set()
+        if sum(len(page.texts[i]) for i in loose if i in shared) < COPY_SHARE * sum(len(page.texts[i]) for i in loose):
+            return "\n\n".join(page.texts[i] for i in loose if i not in shared)
+    return "\n\n".join(page.texts[i] for i in loose)
+
+
+def _ranges(keys: DataFrame, block_pages: int) -> tuple[list[str], list[str]]:
+    """(bounds, last): ascending first keys of all ranges but the lowest, and the last key of each range. Both are short lists of keys."""
+    n = keys.count()
+    parts = max(RANGES * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // block_pages))
+    # An even sample by hash tells where ranges begin; the result does not depend on it.
+    every = max(1, n // (16 * parts))
+    drawn = sorted(r[0] for r in keys.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).distinct().collect())
+    bounds = [drawn[k * len(drawn) // parts] for k in range(1, parts)] if drawn else []
+    bounds = sorted(set(bounds))
+    found = dict(keys.groupBy(_range_of(F.col("key"), bounds).alias("part")).agg(F.max("key")).collect())
+    return bounds, [found.get(k, "") for k in range(len(bounds) + 1)]
+
+
+def _listed(keys: list[str]) -> Column:
+    """An array literal; keys have no line ends."""
+    return F.split(F.lit("\n".join(keys)), "\n")
+
+
+def _range_of(key: Column, bounds: list[str]) -> Column:
+    """How many bounds are at or below the key, found in two steps."""
+    if not bounds:
+        return F.lit(0)
+    wide = int(len(bounds) ** 0.5) + 1
+    block = F.size(F.filter(_listed(bounds[::wide]), lambda b: b <= key))
+    low = (F.greatest(block, F.lit(1)) - 1) * wide
+    return low + F.size(F.filter(F.slice(_listed(bounds), low + 1, wide), lambda b: b <= key))
 
 
 def extract_text(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of `pages`.
 
-    Null or empty html gives an empty text. A page without a neighbour in its block is judged by its markup
+    Null or empty html gives an empty text. A page that is alone on its host is judged by its markup
     alone. Rows that repeat are neighbours of each other and, being copies, lose nothing. Null urls
-    and ids are allowed. Other columns are not read.
+    and ids are allowed. The result does not depend on `block_pages`, the most pages of a range. Other columns are not read.
     """
     url = F.coalesce("url", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^#]*)", 1)
     stem = F.regexp_replace(F.regexp_replace(path, r"\?.*$", ""), r"(/|\.[A-Za-z]{2,5})$", "")
-    block = F.regexp_replace(stem, r".{1,2}$", "")
-    sizes = pages.select(host.alias("host"), block.alias("block")).groupBy("host", "block").count()
-    large = staged(sizes.where(F.col("count") > block_pages).select("host", "block", F.ceil(F.col("count") / block_pages).alias("parts")), "blocks")
-    placed = (
-        pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"), block.alias("block"), stem.alias("stem"))
-        .join(large, ["host", "block"], "left")
-        .withColumn("part", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("parts")), F.lit(0)))
-    )
-    ordered = placed.repartition("host", "block", "part").sortWithinPartitions("host", "block", "part", "stem", "url", "page_id")
-    return ordered.select("page_id", "url", "html", "host", "block", "part").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
+    # Line ends in urls would break the lists of keys; the first character sorts below all others.
+    key = F.translate(F.concat_ws("\u0001", host, stem, url, F.coalesce(F.col("page_id").cast("string"), F.lit(""))), "\r\n", "  ")
+    bounds, last = _ranges(pages.select(key.alias("key")), block_pages)
+    part = _range_of(F.col("key"), bounds)
+    first = F.col("key") == F.get(_listed(["", *bounds]), F.col("part"))
+    ends = F.col("key") == F.get(_listed(last), F.col("part"))
+    placed = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"), stem.alias("stem"), key.alias("key")).withColumn("part", part)
+    goes = F.array_compact(F.array("part", F.when(first & (F.col("part") > 0), F.col("part") - 1), F.when(ends & (F.col("part") < len(bounds)), F.col("part") + 1)))
+    dealt = placed.withColumn("goes", F.explode(goes)).withColumn("own", F.col("goes") == F.col("part"))
+    ordered = dealt.repartition("goes").sortWithinPartitions("goes", "key", F.xxhash64("html"))
+    return ordered.select("page_id", "url", "html", "host", "stem", F.col("goes").alias("part"), "own").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
+
+
+def _alike(a: str, b: str) -> int:
+    """The length of the common beginning."""
+    return len(os.path.commonprefix([a, b]))
 
 
 def _extracted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,20 +253,25 @@ def _extracted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"]
         )
 
+    def judge(before: tuple | None, row: tuple, after: tuple | None) -> None:
+        (key, own, stem, page_id, url, page) = row
+        if own:
+            near = [x for x in (before, after) if x and x[0] == key]
+            near.sort(key=lambda x: -_alike(x[2], stem))
+            out.append((page_id, url, main_text(page, *(x[-1] for x in near))))
+
     out: list[tuple] = []
-    waiting = before = None  # (key, id, url, page); the page before it
+    waiting = before = None  # ((part, host), own, stem, id, url, page); the page before it
     for block in blocks(batches, "html"):
         for row in block.to_pylist():
-            key = (row["host"], row["block"], row["part"])
-            now = (key, row["page_id"], row["url"], lines_of(row["html"]))
+            now = ((row["part"], row["host"]), row["own"], row["stem"], row["page_id"], row["url"], lines_of(row["html"]))
             if waiting:
-                near = before if before and before[0] == waiting[0] else now if key == waiting[0] else None
-                out.append((waiting[1], waiting[2], main_text(waiting[3], near[3] if near else None)))
+                judge(before, waiting, now)
             before, waiting = waiting, now
         if out:
             yield told()
             out.clear()
     if waiting:
-        near = before if before and before[0] == waiting[0] else None
-        out.append((waiting[1], waiting[2], main_text(waiting[3], near[3] if near else None)))
+        judge(before, waiting, None)
+    if out:
         yield told()
