@@ -2,10 +2,10 @@
 
 A page is cut into lines, one per block of its markup. Lines in menus, headers, footers, sidebars,
 notices, adverts, forms, scripts and comments, as their elements, roles and class names tell, are no text.
-If the page has an article (or main) element, its other lines are the text. What markup does not
+If the page has an article (or main) element, only lines inside it can be text. What markup does not
 tell is found by comparison: pages are sorted by URL path within their host, each page's lines are
-aligned with those of its neighbour by longest common subsequence, and shared lines outside an
-article are deleted, unless the pages share most of their text, which makes them copies and not
+aligned with those of its neighbour by longest common subsequence, and shared lines are deleted, inside
+an article too, unless the pages share most of their text, which makes them copies and not
 pages of one template.
 
 Pages are dealt out in ranges of (host, path, url, id), all of about the same number of pages, so that a host with
@@ -29,7 +29,7 @@ from aeromart.llm.words import blocks
 BLOCK_PAGES = 2000
 #: So many ranges for each shuffle partition at least, for even tasks.
 RANGES = 3
-#: Pages that share so much of their text outside articles are copies.
+#: Pages that share so much of what the markup leaves are copies.
 COPY_SHARE = 0.7
 
 #: Names of HTML elements by their part in the layout.
@@ -180,13 +180,12 @@ def main_text(page: Page, *neighbours: Page | None) -> str:
     """The lines that are text, joined by an empty line. The nearest neighbour comes first; of a copy the next one is asked."""
     loose = [i for i, (c, a) in enumerate(zip(page.content, page.article, strict=True)) if c and not a]
     inside = [i for i, (c, a) in enumerate(zip(page.content, page.article, strict=True)) if c and a]
-    if inside:
-        return "\n\n".join(page.texts[i] for i in inside)
+    kept = inside or loose
     for other in neighbours:
         shared = common_lines(page.texts, other.texts) if other else set()
-        if sum(len(page.texts[i]) for i in loose if i in shared) < COPY_SHARE * sum(len(page.texts[i]) for i in loose):
-            return "\n\n".join(page.texts[i] for i in loose if i not in shared)
-    return "\n\n".join(page.texts[i] for i in loose)
+        if sum(len(page.texts[i]) for i in kept if i in shared) < COPY_SHARE * sum(len(page.texts[i]) for i in kept):
+            return "\n\n".join(page.texts[i] for i in kept if i not in shared)
+    return "\n\n".join(page.texts[i] for i in kept)
 
 
 def _ranges(keys: DataFrame, block_pages: int) -> tuple[list[str], list[str]]:

@@ -23,3 +23,15 @@ def test_word_slugs_meet_at_every_size(spark):
     assert found[99].startswith("top bar")
     for size in (1, 3):  # ranges as short as a page change nothing
         assert texts(spark, rows, block_pages=size) == found
+
+
+def test_neighbours_decide_inside_articles(spark):
+    rng = random.Random(4)
+    own = [" ".join(rng.choices("abcdefgh", k=60)) for _ in range(3)]
+    body = "<p>site</p><article><p>By the desk of the Herald</p><p>{}</p><p>Share this story</p></article>"
+    rows = [(i, f"https://h.org/{s}", body.format(own[i])) for i, s in enumerate(SLUGS[:3])]
+    assert texts(spark, rows) == dict(enumerate(own))
+    # A copy under another url tells nothing; the page after it does.
+    rows.append((7, f"https://h.org/{SLUGS[0]}?print=1", rows[0][2]))
+    found = texts(spark, rows)
+    assert own[0] in found[0] and own[0] in found[7] and found[7] == own[0]
