@@ -1,7 +1,8 @@
 """Main text of web pages: markup first, then differencing against the page with the nearest URL.
 
 A page is cut into lines, one per block of its markup. Lines in menus, headers, footers, sidebars,
-notices, adverts, forms, scripts and comments, as their elements, roles and class names tell, are no text.
+notices, adverts, forms, scripts and comments, as their elements, roles and class names tell, are no text. Inside an
+article only names that can mean nothing else count; headings are never judged by their names there.
 If the page has an article (or main) element, only lines inside it can be text. What markup does not
 tell is found by comparison: pages are sorted by URL path within their host, each page's lines are
 aligned with those of its neighbour by longest common subsequence, and shared lines are deleted, inside
@@ -39,7 +40,7 @@ BREAKS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody tfoot thead tr ul".split()
 )
 NO_TEXT = frozenset(
-    "applet audio aside button canvas datalist dialog embed footer form frame frameset head iframe input label map math menu meter nav noscript "
+    "annotation annotation-xml applet audio aside button canvas datalist dialog embed footer form frame frameset head iframe input label map menu meter nav noscript "
     "object option picture progress script search select style svg template textarea title video".split()
 )
 RAW = "script|style|textarea|title|noscript|iframe|template|svg"
@@ -51,6 +52,14 @@ MARKS = frozenset(
     "shares sidebar signin signup skip social sponsor sponsored sponsors subscribe subscription tagcloud teaser toolbar topbar widget widgets".split()
 )
 COMMENT_MARKS = frozenset("ad advert advertisement comment comments promo related replies reply sponsored teaser".split())
+#: Inside an article a class, or the id of a plain box, counts only as a whole and only if it can mean nothing else.
+ARTICLE_MARKS = frozenset(
+    "ad ads adsbygoogle advert adverts advertisement advertising adbox adslot ad-slot ad-container ad-banner breadcrumb breadcrumbs comment comments commentlist comment-list "
+    "comments-area comments-section comment-respond cookie-banner cookie-notice disqus disqus_thread newsletter newsletter-signup newsletter-form pager pagination paywall promo "
+    "related-articles related-posts share shares sharing share-bar share-buttons share-links sharedaddy sidebar social-links social-share sponsored subscribe-form".split()
+)
+ARTICLE_ROLES = frozenset("alertdialog banner complementary contentinfo dialog menu menubar navigation search toolbar".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
@@ -82,12 +91,18 @@ def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     if not attributes or tag in ("html", "body"):
         return False
-    marks = COMMENT_MARKS if tag in ("article", "main") else MARKS - {"header"} if in_article else MARKS
+    marks = COMMENT_MARKS if tag in ("article", "main") else MARKS
     for name, value in _NAMED.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
             return True
-        if name in ("class", "id", "role"):
+        if tag in HEADINGS and name == "id":
+            continue
+        if in_article and tag not in ("article", "main"):
+            known = {"role": ARTICLE_ROLES, "class": ARTICLE_MARKS, "id": ARTICLE_MARKS if tag == "div" else frozenset()}.get(name, frozenset())
+            if tag not in HEADINGS and not known.isdisjoint(value.split()):
+                return True
+        elif name in ("class", "id", "role"):
             for one in value.split():
                 parts = [p for p in re.split(r"[^a-z]+", one) if p]
                 if parts and parts[0] not in ("has", "no", "with", "without", "is") and (parts[0] in marks or parts[-1] in marks):

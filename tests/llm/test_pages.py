@@ -35,3 +35,12 @@ def test_neighbours_decide_inside_articles(spark):
     rows.append((7, f"https://h.org/{SLUGS[0]}?print=1", rows[0][2]))
     found = texts(spark, rows)
     assert own[0] in found[0] and own[0] in found[7] and found[7] == own[0]
+
+
+def test_names_inside_articles():
+    kept = """<article><section id="discussion"><p>a</p></section><h2 id="related-work">b</h2><h2 id="search-algorithms">c</h2><section id="navigation"><p>d</p></section>
+    <div class="social-history">e</div><h3 id="register">f</h3><div class="alert note">g</div><p>h <math><mi>x</mi><annotation encoding="application/x-tex">\\x</annotation></math></p></article>"""
+    assert pages.main_text(pages.lines_of(kept)) == "\n\n".join(["a", "b", "c", "d", "e", "f", "g", "h x"])
+    gone = "".join(f"<div {a}>no</div>" for a in ("class='x ad'", "id=comments", "class=share", "class='newsletter'", "role=navigation", "hidden"))
+    assert pages.main_text(pages.lines_of(f"<article><p>a</p>{gone}<nav>no</nav></article>")) == "a"
+    assert pages.main_text(pages.lines_of("<div><h2 id='search-algorithms'>a</h2><p>b</p></div><div id=search>no</div>")) == "a\n\nb"
