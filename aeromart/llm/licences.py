@@ -19,7 +19,54 @@ from pyspark.sql import functions as F
 THRESHOLD = 0.8
 SEPARATORS = r"[^\p{L}\p{N}\n]+"
 
-#: Fixed texts: usual notices of public licences.
+_AS_IS = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+    "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+    "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD_GRANT = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+)
+_BSD_TWO = (
+    " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+    " 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution."
+)
+_BSD_THREE = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission."
+)
+_BSD_AS_IS = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+    "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+    "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+    "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+    "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, "
+    "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+    "Software is furnished to do so, subject to the following conditions:"
+)
+_NO_WARRANTY = (
+    " {it} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+    "FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details. You should have received a copy of the GNU {name} along with this "
+    "{what}. If not, see <https://www.gnu.org/licenses/>."
+)
+
+
+def _gnu_header(name: str, version: str, it: str = "This program", what: str = "program") -> str:
+    return (
+        f"{it} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software "
+        f"Foundation, either version {version} of the License, or (at your option) any later version."
+    ) + _NO_WARRANTY.format(it=it, name=name, what=what)
+
+
+#: Fixed texts: usual notices and headers of public licences, and the short licences in full. The SQL compares units of up to 400
+#: bigrams, so no template may have more than 266.
 TEMPLATES: dict[str, str] = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 header": (
@@ -37,14 +84,48 @@ TEMPLATES: dict[str, str] = {
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
     "MIT": "Released under the MIT License.",
-    "MIT grant": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
-        "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, "
-        "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
-        "Software is furnished to do so, subject to the following conditions:"
-    ),
+    "MIT grant": _MIT_GRANT,
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-}
+    "AGPL-3.0 header": _gnu_header("Affero General Public License", "3"),
+    "BSD grant": _BSD_GRANT,
+    "BSD-2-Clause text": _BSD_GRANT + _BSD_TWO + _BSD_AS_IS,
+    "BSD-3-Clause text": _BSD_GRANT + _BSD_TWO + _BSD_THREE + _BSD_AS_IS,
+    "EPL-2.0 header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+        "https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "GPL-2.0 header": _gnu_header("General Public License", "2"),
+    "GPL-3.0 header": _gnu_header("General Public License", "3"),
+    "ISC text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        "above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL "
+        "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+        "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "LGPL-2.1 header": _gnu_header("Lesser General Public License", "2.1", "This library", "library"),
+    "LGPL-3.0 header": _gnu_header("Lesser General Public License", "3"),
+    "MIT text": (
+        _MIT_GRANT + " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _AS_IS
+    ),
+    "MPL-2.0 header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+        "file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or "
+        "distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+    ),
+}
+
+#: Fixed texts: usual one-line notices, and the licences they are said of.
+_NOTICES = ("Licensed under the {}.", "This project is licensed under the {}.", "The code is released under the {}.", "This work is distributed under the terms of the {}.")
+_NAMES = {
+    "AGPL-3.0": "GNU Affero General Public License v3.0", "Apache-2.0": "Apache License 2.0", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License",
+    "EPL-2.0": "Eclipse Public License 2.0", "GPL-2.0": "GNU General Public License v2.0", "GPL-3.0": "GNU General Public License v3.0", "ISC": "ISC License",
+    "LGPL-3.0": "GNU Lesser General Public License v3.0", "MIT": "MIT License", "MPL-2.0": "Mozilla Public License 2.0",
+}
+TEMPLATES |= {f"{name} notice {k}": notice.format(long) for name, long in _NAMES.items() for k, notice in enumerate(_NOTICES, 1)}
 
 
 def normalised(text: Column) -> Column:
