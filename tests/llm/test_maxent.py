@@ -1,0 +1,24 @@
+"""Training goes on until the likelihood of the training tokens stands."""
+
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from aeromart.llm import maxent
+
+
+def test_updates_until_the_likelihood_stands(frame):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice([f"a{k % 7} b{k % 5}", "c d e", f"f{k % 3} g"]) for k in range(30))) for i in range(40)]
+    docs = frame(rows)
+    words = maxent.vocabulary(docs)
+    encoded = maxent.encode(docs, F.lit(True), words).cache()
+    bias = np.log(words.prior()).astype(np.float32)
+    likelihood = lambda weights: maxent.gradient(encoded, weights, bias)[1]
+    trained = maxent.train(encoded, bias)
+    two, reached = likelihood(maxent.train(encoded, bias, 2)), likelihood(trained)
+    assert reached > two + maxent.TOLERANCE * abs(two)
+    # Two updates left more than the tolerance; a closer one gains little.
+    nearer = likelihood(maxent.train(encoded, bias, tolerance=maxent.TOLERANCE / 2))
+    assert reached <= nearer <= reached + 10 * maxent.TOLERANCE * abs(reached)
