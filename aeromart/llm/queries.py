@@ -3,11 +3,13 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aeromart.llm import contamination, labelled, licences, maxent, neardup, pages, pieces, quality, rules, substrings, toxicity
+from aeromart.llm import contamination, labelled, licences, maxent, neardup, negatives, packing, pages, pieces, quality, resampling, rules, substrings, toxicity
 
-#: The folder of public tokenizer files is a parameter of the operators; this is the queries' choice.
+#: The folder of public tokenizer files is a parameter of the operators; these are the queries' choices.
 TOKENIZER = "piece_bpe_32k.model"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +70,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(docs, rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.hard_negatives(rows, vec_id % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_quality_classifier": op2_quality_classifier,
@@ -79,6 +95,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLES: dict[str, str] = {"op1_license_scan": licences.licence_sql(), "op8_substring_dedup": substrings.repeats_sql()}
+ORACLES: dict[str, str] = {
+    "op1_license_scan": licences.licence_sql(),
+    "op8_substring_dedup": substrings.repeats_sql(),
+    "op12_importance_resampling": resampling.resampling_sql(),
+    "op13_hard_negatives": negatives.negatives_sql(),
+}
