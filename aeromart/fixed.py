@@ -192,11 +192,33 @@ REPORT_SCHEMA = T.StructType(
     )
 )
 
+QUARANTINE_SCHEMA = T.StructType(
+    _columns("file string, document string, copies bigint, noted_at string")
+)
 LOADS_SCHEMA = T.StructType(_columns("load_id bigint, year string, month string"))
-REFRESHES_SCHEMA = T.StructType(_columns("load_id bigint, finished_at timestamp"))
+REFRESHES_SCHEMA = T.StructType(_columns("load_id bigint, finished_at timestamp, number bigint"))
+CHECKS_SCHEMA = T.StructType(
+    _columns(
+        "queried_city string, source string, ingested_hour string, rows bigint, null_aqi bigint, "
+        "null_measured_at bigint, null_dominant_pollutant bigint, outside bigint, year string, month string"
+    )
+)
+STATION_DAYS_SCHEMA = T.StructType(
+    _columns(
+        "waqi_idx int, queried_city string, date date, dominant_pollutant string, _n bigint, "
+        "_max double, _min double, _sum_aqi double, _sum_pm25 double, _sum_pm10 double, "
+        "_sum_humidity double, _sum_temperature double, _cnt_aqi bigint, _cnt_pm25 bigint, "
+        "_cnt_pm10 bigint, _cnt_humidity bigint, _cnt_temperature bigint, year string, month string"
+    )
+)
+PARTS_SCHEMA = T.StructType(
+    _columns("part_id string, load_id bigint, base boolean, year string, month string")
+)
+STARTS_SCHEMA = T.StructType(_columns("number bigint, full boolean, started_at timestamp"))
 RUN_SCHEMA = T.StructType(
     _columns(
         "status string, reason string, raw_rows bigint, fresh_rows bigint, "
-        "new_stations bigint, new_rows bigint, dropped_rows bigint, ingested_at string"
+        "new_stations bigint, new_rows bigint, dropped_rows bigint, unreadable_rows bigint, "
+        "ingested_at string"
     )
 )

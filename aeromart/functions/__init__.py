@@ -1,7 +1,24 @@
 """Column functions: every one takes and returns Columns and stays inside the JVM."""
 
-from .aggregates import count_where, distinct_count, distinct_text, mean2, most_frequent, pct
-from .numbers import clean_numeric, field_type, resolve_choice, resolve_num, strip_thousands
+from .aggregates import (
+    count_where,
+    distinct_count,
+    distinct_sketch,
+    distinct_text,
+    mean2,
+    merge_sketches,
+    most_frequent,
+    pct,
+    sketch_error,
+)
+from .numbers import (
+    clean_numeric,
+    field_type,
+    resolve_choice,
+    resolve_num,
+    resolve_variant,
+    strip_thousands,
+)
 from .texts import (
     aqi_band,
     bronze_key,
@@ -23,10 +40,12 @@ __all__ = [
     "clean_string",
     "count_where",
     "distinct_count",
+    "distinct_sketch",
     "distinct_text",
     "field_type",
     "ingestion_id",
     "mean2",
+    "merge_sketches",
     "most_frequent",
     "parse_iso",
     "parse_slug_list",
@@ -34,6 +53,8 @@ __all__ = [
     "pct",
     "resolve_choice",
     "resolve_num",
+    "resolve_variant",
+    "sketch_error",
     "split_location",
     "strip_thousands",
     "to_date",

@@ -28,6 +28,25 @@ def distinct_count(col) -> Column:
     return F.countDistinct(col)
 
 
+#: Default size of a sketch: 2 to this power registers.
+LG_K = 12
+
+
+def distinct_sketch(col, lg_k: int = LG_K) -> Column:
+    """A mergeable HyperLogLog sketch of the distinct non-NULL values."""
+    return F.hll_sketch_agg(col, F.lit(lg_k))
+
+
+def merge_sketches(col) -> Column:
+    """Estimated number of distinct values over sketches of equal size; see `sketch_error`."""
+    return F.hll_sketch_estimate(F.hll_union_agg(col))
+
+
+def sketch_error(lg_k: int = LG_K) -> float:
+    """Relative standard error of an estimate: 1.04 over the root of the registers."""
+    return 1.04 / 2 ** (lg_k / 2)
+
+
 def distinct_text(col, expected) -> Column:
     """Those of the expected values that occur, sorted and comma-joined.
 

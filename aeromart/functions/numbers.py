@@ -44,6 +44,15 @@ def resolve_choice(name: str, schema: T.StructType, branches=("double", "int"))
     return F.coalesce(*present) if present else F.lit(None).cast("double")
 
 
+def resolve_variant(value: Column, path: str = "$", branches=("double", "int")) -> Column:
+    """`resolve_choice` for a VARIANT: the number at `path`, a plain one or the first branch of an object of types.
+
+    Text that holds a number counts as one; anything else is NULL, as is a missing field.
+    """
+    inside = [F.try_variant_get(value, f"{path}.{b}", "double") for b in branches]
+    return F.coalesce(F.try_variant_get(value, path, "double"), *inside)
+
+
 def clean_numeric(name: str, schema: T.StructType) -> Column:
     """Top-level column to double: the double branch of a struct, else a cast; bad text is NULL."""
     value = F.col(f"`{name}`")

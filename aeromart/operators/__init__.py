@@ -6,6 +6,7 @@ from .cleaning import (
     drop_stale,
     dedup_latest,
     flatten_api,
+    flatten_variant,
     latest_dim,
     new_only,
     ok_responses,
@@ -18,8 +19,16 @@ from .cleaning import (
     with_year_month,
 )
 from .landing import ingest_outcomes, ingest_summary, landable, normalise_slugs
-from .quality import dq_check, dq_summary, missing_values, sample_rows, unexpected_values
+from .quality import (
+    dq_check,
+    dq_summary,
+    missing_values,
+    sample_by_key,
+    sample_rows,
+    unexpected_values,
+)
 from .summaries import (
+    approx_stations,
     attach_mode,
     daily_metrics,
     enrich_with_dim,
@@ -28,10 +37,13 @@ from .summaries import (
     monthly_from_daily,
     rank_cities,
     rank_in_city,
+    station_days,
     station_monthly,
+    station_sketches,
 )
 
 __all__ = [
+    "approx_stations",
     "attach_mode",
     "daily_metrics",
     "dedup_latest",
@@ -41,6 +53,7 @@ __all__ = [
     "drop_stale",
     "enrich_with_dim",
     "flatten_api",
+    "flatten_variant",
     "ingest_outcomes",
     "ingest_summary",
     "landable",
@@ -56,11 +69,14 @@ __all__ = [
     "rank_in_city",
     "rename_headers",
     "require_not_null",
+    "sample_by_key",
     "sample_rows",
     "unexpected_values",
     "select_dim",
     "select_fact",
+    "station_days",
     "station_monthly",
+    "station_sketches",
     "union_rows",
     "with_date",
     "with_year_month",

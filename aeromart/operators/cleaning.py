@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed import API_READINGS, CSV_HEADERS, DIM_SCHEMA, FACT_SCHEMA, STALE_HOURS
-from ..functions import parse_iso, resolve_choice, to_date, year_month
+from ..functions import parse_iso, resolve_choice, resolve_variant, to_date, year_month
 from ..functions.numbers import field_type
 from ..functions.times import as_utc
 
@@ -16,11 +16,12 @@ def ok_responses(df: DataFrame) -> DataFrame:
     return df.filter(F.col("status") == "ok")
 
 
-def flatten_api(df: DataFrame, ingested_at: str, source: str = "api") -> DataFrame:
+def flatten_api(df: DataFrame, ingested_at: str, source: str = "api", more=()) -> DataFrame:
     """Nested API documents to flat columns, whatever types the readings came in.
 
     `data.aqi` counts only where it is a whole-number branch or plain number; the text that an
-    offline station sends instead becomes NULL. A `geo` array that is too short gives NULLs.
+    offline station sends instead becomes NULL. A `geo` array that is too short gives NULLs. Columns named in `more`
+    are kept.
     """
 
     def plain(path):
@@ -44,6 +45,39 @@ def flatten_api(df: DataFrame, ingested_at: str, source: str = "api") -> DataFra
         ],
         F.lit(source).alias("source"),
         F.lit(ingested_at).alias("ingested_at"),
+        *more,
+    )
+
+
+def flatten_variant(
+    df: DataFrame, ingested_at: str, body: str = "body", city: str = "city", source: str = "api"
+) -> DataFrame:
+    """`flatten_api` of documents that are still text, parsed to VARIANT: no schema is needed for fields of mixed types."""
+    # Through a generator a body is parsed once, and not once for each field.
+    parsed = df.select(
+        F.explode(F.array(F.try_parse_json(body))).alias("_doc"), F.col(city).alias("queried_city")
+    )
+    doc = F.col("_doc")
+
+    def text(path):
+        return F.try_variant_get(doc, path, "string")
+
+    return parsed.select(
+        F.try_variant_get(doc, "$.data.idx", "int").alias("waqi_idx"),
+        text("$.data.city.name").alias("station_name"),
+        text("$.data.city.url").alias("url"),
+        F.try_variant_get(doc, "$.data.city.geo[0]", "double").alias("lat"),
+        F.try_variant_get(doc, "$.data.city.geo[1]", "double").alias("lon"),
+        "queried_city",
+        parse_iso(text("$.data.time.iso")).alias("measured_at"),
+        resolve_variant(doc, "$.data.aqi", branches=("int",)).alias("aqi"),
+        text("$.data.dominentpol").alias("dominant_pollutant"),
+        *[
+            resolve_variant(doc, f"$.data.iaqi.{raw}.v").alias(clean)
+            for raw, clean in API_READINGS.items()
+        ],
+        F.lit(source).alias("source"),
+        F.lit(ingested_at).alias("ingested_at"),
     )
 
 

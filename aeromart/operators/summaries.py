@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed import DAY_COUNTS
-from ..functions import count_where, mean2, most_frequent
-from ..functions.aggregates import round2
+from ..functions import count_where, distinct_sketch, mean2, merge_sketches, most_frequent
+from ..functions.aggregates import LG_K, round2
 from ..session import stage
-from .cleaning import distinct_by, with_date
+from .cleaning import distinct_by, with_date, with_year_month
 
 DAILY_KEYS = ("queried_city", "date")
 MONTHLY_KEYS = ("queried_city", "year", "month")
@@ -71,11 +71,34 @@ def _merged() -> list[Column]:
     ]
 
 
+def station_days(fact: DataFrame, tz: str | None = None) -> DataFrame:
+    """Mergeable sums, counts, extremes and pollutant counts by station, city, day and pollutant.
+
+    Every gold table follows from these rows. A station reports some times a day, so there are far fewer of them than
+    readings. Rows of several loads with the same key stand side by side and are merged when read.
+    """
+    keys = ["waqi_idx", "queried_city", "date", "dominant_pollutant", *MONTHLY_KEYS[1:]]
+    return _partials(with_date(fact, tz=tz), keys)
+
+
+def _remerged(states: DataFrame, keys) -> DataFrame:
+    """`_partials` of coarser groups, out of finer ones."""
+    return states.groupBy(*keys).agg(
+        F.sum("_n").alias("_n"),
+        F.max("_max").alias("_max"),
+        F.min("_min").alias("_min"),
+        *[F.sum(f"_{kind}_{m}").alias(f"_{kind}_{m}") for kind in ("sum", "cnt") for m in MEASURES],
+    )
+
+
 def metrics_by(df: DataFrame, keys, col: str = "dominant_pollutant") -> DataFrame:
     """Means, extremes, row count and most frequent `col` per group, in one scan."""
+    return _merged_by(_partials(df, [*keys, col]), keys, col)
+
+
+def _merged_by(partials: DataFrame, keys, col: str) -> DataFrame:
     return (
-        _partials(df, [*keys, col])
-        .groupBy(*keys)
+        partials.groupBy(*keys)
         .agg(
             *_merged(),
             most_frequent(col, F.col("_n")).alias("_mode"),
@@ -99,6 +122,20 @@ def _with_stations(metrics: DataFrame, dated: DataFrame) -> DataFrame:
     return _same_key(metrics, station_counts(dated, DAILY_KEYS), DAILY_KEYS, "left")
 
 
+def station_sketches(fact: DataFrame, tz: str | None = None, lg_k: int = LG_K) -> DataFrame:
+    """A sketch of the stations of every city and day: a few KB a group, whatever it holds.
+
+    Sketches of days merge to those of months or of several cities, which exact counts do not.
+    """
+    dated = with_year_month(with_date(fact, tz=tz), "date")
+    return dated.groupBy(*DAILY_KEYS, "year", "month").agg(distinct_sketch("waqi_idx", lg_k).alias("stations"))
+
+
+def approx_stations(sketches: DataFrame, keys) -> DataFrame:
+    """Estimated distinct stations by coarser keys, out of `station_sketches`; the error is `sketch_error`."""
+    return sketches.groupBy(*keys).agg(merge_sketches("stations").alias("station_count"))
+
+
 def daily_metrics(fact: DataFrame, tz: str | None = None) -> DataFrame:
     """City and day: rounded means, extremes, distinct stations, rows."""
     dated = with_date(fact, tz=tz)
@@ -111,9 +148,29 @@ def daily_with_mode(fact: DataFrame, tz: str | None = None) -> DataFrame:
     return _with_stations(metrics_by(dated, DAILY_KEYS), dated)
 
 
-def mode_per_group(df: DataFrame, keys, col: str = "dominant_pollutant") -> DataFrame:
-    """Most frequent value of `col` per group; NULL counts as a value, the smallest wins a tie."""
-    counted = df.groupBy(*keys, col).agg(F.count("*").alias("_n"))
+def daily_of_states(states: DataFrame, col: str = "dominant_pollutant") -> DataFrame:
+    """`daily_with_mode` out of `station_days`."""
+    return _with_stations(_merged_by(_remerged(states, [*DAILY_KEYS, col]), DAILY_KEYS, col), states)
+
+
+def station_monthly_of_states(
+    states: DataFrame, dim: DataFrame, col: str = "dominant_pollutant"
+) -> DataFrame:
+    """`station_monthly` out of `station_days`."""
+    month_keys = ["waqi_idx", "year", "month"]
+    monthly = states.groupBy(*STATION_KEYS).agg(*_merged())
+    modes = mode_per_group(states, month_keys, col, F.sum("_n"))
+    return enrich_with_dim(attach_mode(monthly, modes, month_keys), dim)
+
+
+def mode_per_group(
+    df: DataFrame, keys, col: str = "dominant_pollutant", count: Column | None = None
+) -> DataFrame:
+    """Most frequent value of `col` per group; NULL counts as a value, the smallest wins a tie.
+
+    `count` is an aggregate that says how often a value occurs, if `df` holds counts and not rows.
+    """
+    counted = df.groupBy(*keys, col).agg((F.count("*") if count is None else count).alias("_n"))
     return counted.groupBy(*keys).agg(most_frequent(col, F.col("_n")).alias(col))
 
 

@@ -5,7 +5,7 @@ import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -48,6 +48,14 @@ def stage(df: DataFrame, name: str = "stage", partition_cols=()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """`stage`, and aggregates over the rows that are taken while they are written: no second scan."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), name)
+    # Of an empty table AQE may leave the counting out.
+    return staged, dict.fromkeys(counts, 0) | {k: v for k, v in seen.get.items() if v is not None}
+
+
 @contextmanager
 def staging(spark: SparkSession):
     """What is staged inside belongs to one job and is removed when the job ends."""
@@ -58,5 +66,10 @@ def staging(spark: SparkSession):
         paths = _staged.get()
         _staged.reset(token)
         for path in paths:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark keeps it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,9 +5,10 @@ splits where one partition is large and merges where many are small: neither one
 partition nor thousands of small files.
 """
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed import (
@@ -18,13 +19,26 @@ from ..fixed import (
     LANDED_SOURCE,
     LOADS_SCHEMA,
     MONTH_PARTITIONS,
+    QUARANTINE_SCHEMA,
     RANKING_SCHEMA,
     REFRESHES_SCHEMA,
+    STARTS_SCHEMA,
 )
 from ..operators.cleaning import new_only
 from ..operators.landing import landable
 from ..session import stage, staging
-from .readers import loads_path, read_loads, read_ranking, read_table, refreshes_path
+from .partials import Partials, note_part
+from .readers import (
+    FILE,
+    UNREADABLE,
+    loads_path,
+    read_loads,
+    read_ranking,
+    read_starts,
+    read_table,
+    refreshes_path,
+    starts_path,
+)
 
 
 def _laid_out(df: DataFrame, partition_cols) -> DataFrame:
@@ -87,45 +101,70 @@ def insert_new(
     are partition columns that follow from the key: only their span in the batch is looked into.
     The keys of `batch` must be unique; `batch` is read more than once.
     """
-    spark = batch.sparkSession
-    target = read_table(spark, path, schema or batch.schema, missing_ok=True)
+    fresh = _unseen(batch, path, keys, prune_cols, schema)
+    return _save(fresh, path, "append", partition_cols, table)
+
+
+def _unseen(batch: DataFrame, path: str, keys, prune_cols=(), schema=None) -> DataFrame:
+    target = read_table(batch.sparkSession, path, schema or batch.schema, missing_ok=True)
     if prune_cols:
         target = in_span(target, prune_cols, span(batch, prune_cols))
-    return _save(new_only(batch, target, keys), path, "append", partition_cols, table)
+    return new_only(batch, target, keys)
 
 
-def write_fact(df: DataFrame, path: str, table: str | None = None) -> int:
+def write_fact(
+    df: DataFrame, path: str, table: str | None = None, partials: Sequence[Partials] = ()
+) -> int:
     """Append readings that are not in the fact table yet, by station and instant.
 
     Year and month follow from the instant, the city does not follow from the station, so
     only the span of months of the batch is looked into, in every city. The months are noted in the
     ledger first: a load that breaks off may cost a refresh, but is never overlooked by one.
+
+    `partials` are summaries to be kept of what is inserted, for `read_partials`. The rows to insert are then
+    staged: the table and all summaries are written from the same rows.
     """
-    note_load(df, path)
-    return insert_new(
-        df,
-        path,
-        ("waqi_idx", "measured_at"),
-        FACT_PARTITIONS,
-        prune_cols=MONTH_PARTITIONS,
-        schema=FACT_SCHEMA,
-        table=table,
-    )
+    load_id = note_load(df, path)
+    keys, about = ("waqi_idx", "measured_at"), {"prune_cols": MONTH_PARTITIONS, "schema": FACT_SCHEMA}
+    if not partials:
+        return insert_new(df, path, keys, FACT_PARTITIONS, table=table, **about)
+    with staging(df.sparkSession):
+        fresh = stage(_unseen(df, path, keys, **about), "fresh")
+        rows = _save(fresh, path, "append", FACT_PARTITIONS, table)
+        for kind in partials:
+            note_part(fresh, df, path, kind, load_id)
+    return rows
 
 
-def note_load(df: DataFrame, fact_path: str) -> None:
-    """Append the months of a batch to the ledger of the fact table, under the next load id."""
+def note_load(df: DataFrame, fact_path: str) -> int:
+    """Append the months of a batch to the ledger of the fact table, under the next load id; returns the id."""
     last = read_loads(df.sparkSession, fact_path).agg(F.max("load_id")).first()[0]
+    load_id = (last or 0) + 1
     months = df.select(*MONTH_PARTITIONS).distinct()
-    noted = months.select(F.lit((last or 0) + 1).cast("bigint").alias("load_id"), *MONTH_PARTITIONS)
+    noted = months.select(F.lit(load_id).cast("bigint").alias("load_id"), *MONTH_PARTITIONS)
     noted.select(*LOADS_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(loads_path(fact_path))
+    return load_id
 
 
-def note_refresh(df: DataFrame, gold: str, load_id: int | None) -> None:
-    """Note that gold covers all loads up to `load_id`."""
-    row = [(load_id or 0, datetime.now(timezone.utc))]
-    noted = df.sparkSession.createDataFrame(row, REFRESHES_SCHEMA)
-    noted.coalesce(1).write.mode("append").parquet(refreshes_path(gold))
+def _note(spark: SparkSession, path: str, row: tuple, schema) -> None:
+    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def note_start(spark: SparkSession, gold: str, full: bool) -> int:
+    """Note that a refresh is about to write; returns its number.
+
+    A start without a finish tells the next refresh that tables may lack rows: of all months after
+    a full one, whose overwrite removes everything first, else of the ranking table alone.
+    """
+    number = (read_starts(spark, gold).agg(F.max("number")).first()[0] or 0) + 1
+    _note(spark, starts_path(gold), (number, full, datetime.now(timezone.utc)), STARTS_SCHEMA)
+    return number
+
+
+def note_refresh(spark: SparkSession, gold: str, load_id: int | None, number: int) -> None:
+    """Note that refresh `number` finished, and that gold covers all loads up to `load_id`."""
+    row = (load_id or 0, datetime.now(timezone.utc), number)
+    _note(spark, refreshes_path(gold), row, REFRESHES_SCHEMA)
 
 
 def write_dim(df: DataFrame, path: str, replace: bool = False, table: str | None = None) -> int:
@@ -138,6 +177,44 @@ def write_dim(df: DataFrame, path: str, replace: bool = False, table: str | None
     return insert_new(df, path, ("waqi_idx",), schema=DIM_SCHEMA, table=table)
 
 
+def write_quarantine(df: DataFrame, path: str, noted_at: str) -> int:
+    """Keep the documents of `df` (columns of `read_api_bronze_checked`) that could not be read.
+
+    One row for each file and text, with the number of copies; a replayed batch adds nothing.
+    """
+    broken = df.filter(F.col(UNREADABLE).isNotNull())
+    rows = broken.groupBy(F.col(FILE).alias("file"), F.col(UNREADABLE).alias("document")).agg(
+        F.count("*").alias("copies"), F.lit(noted_at).alias("noted_at")
+    )
+    return insert_new(rows, path, ("file", "document"), schema=QUARANTINE_SCHEMA)
+
+
+def insert_bucketed(
+    batch: DataFrame, table: str, path: str, keys, buckets: int, partition_cols=()
+) -> int:
+    """`insert_new` into a catalog table at `path` whose files are bucketed and sorted by the keys.
+
+    The table's side of the anti-join is already laid out by its keys, so only the batch is shuffled, however
+    large it is. Keys are spread over the buckets as a whole: a station with very many readings is in all of
+    them. Keys must not be NULL. The number of buckets is fixed when the table is made.
+    """
+    spark = batch.sparkSession
+    fresh = unseen_in_bucketed(batch, table, keys) if spark.catalog.tableExists(table) else batch
+    counted = Observation()
+    rows = fresh.repartition(buckets, *keys).observe(counted, F.count(F.lit(1)).alias("rows"))
+    writer = rows.write.mode("append").format("parquet").option("path", path).option("compression", "snappy")
+    if partition_cols:
+        writer = writer.partitionBy(*partition_cols)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return _observed_rows(counted)
+
+
+def unseen_in_bucketed(batch: DataFrame, table: str, keys) -> DataFrame:
+    """Rows of `batch` whose keys the bucketed table does not hold, by a merge join on the table's own layout."""
+    held = batch.sparkSession.table(table).select(*keys)
+    return batch.join(held.hint("merge"), list(keys), "left_anti")
+
+
 def write_daily(
     df: DataFrame, path: str, dynamic: bool = False, table: str | None = None
 ) -> int:

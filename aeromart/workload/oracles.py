@@ -798,6 +798,50 @@ ORACLES["union_rows"] = ORACLES["insert_new"] = _with(
 ORACLES["refresh_backfill"] = ORACLES["write_read_daily"]
 ORACLES["refresh_backfill_ranking"] = ORACLES["write_read_ranking"]
 ORACLES["refresh_backfill_station"] = ORACLES["write_read_station"]
+for _suffix, _stored in (("", "daily"), ("_ranking", "ranking"), ("_station", "station")):
+    ORACLES["refresh_after_crash" + _suffix] = ORACLES["write_read_" + _stored]
+    ORACLES["refresh_from_states" + _suffix] = ORACLES["write_read_" + _stored]
+_LOADED = "loaded AS (" + DEDUP_FACT + ")"
+ORACLES["dq_report_merged"] = _with(
+    EVENTS_FACT, _LOADED, CUSTOMER_DIM, _union(_fact_report(JANUARY, "loaded") + _dim_report())
+)
+ORACLES["dq_report_merged_failing"] = _with(
+    EVENTS_FACT,
+    DAMAGED,
+    _LOADED.replace("FROM fact", "FROM damaged"),
+    CUSTOMER_DIM,
+    "known AS (SELECT * FROM dim WHERE queried_city <> 'EUROPE')",
+    _union(_fact_report("2024-01-28T12:34:56", "loaded") + _dim_report("known")),
+)
+ORACLES["flatten_variant"] = ORACLES["flatten_api"]
+ORACLES["flatten_variant_choice"] = ORACLES["flatten_api_choice"]
+ORACLES["insert_bucketed"] = ORACLES["dedup_latest"]
+ORACLES["sample_seeded"] = """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE CAST('0x' || substr(md5('7|' || o_orderkey), 1, 8) AS BIGINT) < 429496729"""
+ORACLES["approx_stations"] = _with(
+    LINEITEM_FACT,
+    "SELECT queried_city, year, month, count(DISTINCT waqi_idx) AS stations, TRUE AS close FROM fact GROUP BY ALL",
+)
+_SUPPLIER_DOCUMENT = """
+documents AS (
+  SELECT s_suppkey AS key, s_acctbal >= 0 AS valid,
+         CASE s_suppkey % 5
+           WHEN 1 THEN substr('{ "status": "ok", "data": { "idx": ' || s_suppkey || ', "aqi": ', 1, 40)
+           WHEN 2 THEN '<html>busy ' || s_suppkey || '</html>' END AS document
+  FROM supplier
+)"""
+ORACLES["bronze_quarantine"] = _with(
+    _SUPPLIER_DOCUMENT,
+    "SELECT document, CAST(count(*) AS BIGINT) AS copies, '2024-01-02T00:00:00+00:00' AS noted_at "
+    "FROM documents WHERE document IS NOT NULL GROUP BY document",
+)
+ORACLES["bronze_quarantine_runs"] = _with(
+    _SUPPLIER_DOCUMENT,
+    """SELECT 'LOADED' AS status, count(*) AS raw_rows, count(*) FILTER (document IS NULL AND valid) AS fresh_rows,
+  count(*) FILTER (document IS NULL AND valid) AS new_stations, count(*) FILTER (document IS NULL AND valid) AS new_rows,
+  CAST(0 AS BIGINT) AS dropped_rows, count(document) AS unreadable_rows FROM documents""",
+)
 ORACLES["unexpected_values"] = _with(
     EVENTS_FACT,
     DAMAGED,

@@ -4,6 +4,7 @@ Each takes a session and the folder of the tables. Stamps of the run time are le
 instants are returned without a time zone, so that results can be compared.
 """
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,11 @@ from pyspark.sql import types as T
 from .. import functions as fn
 from .. import operators as op
 from .. import plans, sources, streaming
-from ..fixed import API_SCHEMA, DAY_COUNTS
+from ..fixed import API_SCHEMA, DAY_COUNTS, FACT_SCHEMA
 from ..plans.silver import clean_csv
-from ..session import pin_utc, shared_folder
+from ..session import pin_utc, remove, shared_folder
+from ..sources.readers import read_table
+from ..sources.writers import note_start
 from . import adapters as ad
 
 EVENTS_END = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -270,6 +273,18 @@ def insert_new(spark, sf_dir):
     return sources.read_dim(spark, path)
 
 
+@_query
+def insert_bucketed(spark, sf_dir):
+    """Readings of three years and their followers through a bucketed catalog table, one batch delivered twice."""
+    path = shared_folder(spark, "lake") + "/fact_aqi"
+    table = f"am_bucketed_{uuid.uuid4().hex}"
+    fact = op.dedup_latest(ad.fact_from_lineitem(spark, sf_dir))
+    early = F.year("measured_at") < 1995
+    for batch in (fact.filter(early), fact, fact.filter(early)):
+        sources.insert_bucketed(batch, table, path, ("waqi_idx", "measured_at"), 8, ("queried_city",))
+    return read_table(spark, path, FACT_SCHEMA)
+
+
 def _documents(spark, sf_dir) -> DataFrame:
     """Parsed API documents, with the partition column of the raw folders."""
     responses = op.normalise_slugs(ad.responses_from_events(spark, sf_dir))
@@ -286,12 +301,10 @@ def flatten_api(spark, sf_dir):
     return op.flatten_api(_documents(spark, sf_dir), STAMP)
 
 
-@_query
-def flatten_api_choice(spark, sf_dir):
-    """The same reading held in several types at once."""
+def _choices(spark, sf_dir) -> DataFrame:
     value = F.col("value")
     whole = F.when(value == F.floor(value), value.cast("int"))
-    rows = ad.table(spark, sf_dir, "events").select(
+    return ad.table(spark, sf_dir, "events").select(
         "event_id",
         F.struct(
             F.when(F.col("event_type") != "error", F.floor(value).cast("int")).alias("int"),
@@ -304,6 +317,12 @@ def flatten_api_choice(spark, sf_dir):
         F.struct(F.floor(value).cast("int").alias("int")).alias("single"),
         F.when(F.col("event_type") == "click", "-").otherwise(value.cast("string")).alias("text"),
     )
+
+
+@_query
+def flatten_api_choice(spark, sf_dir):
+    """The same reading held in several types at once."""
+    rows = _choices(spark, sf_dir)
     return rows.select(
         "event_id",
         fn.resolve_choice("aqi", rows.schema, ("int",)).alias("aqi"),
@@ -314,6 +333,25 @@ def flatten_api_choice(spark, sf_dir):
     )
 
 
+@_query
+def flatten_variant(spark, sf_dir):
+    """The documents of `flatten_api`, parsed to VARIANT."""
+    responses = op.normalise_slugs(ad.responses_from_events(spark, sf_dir))
+    return op.flatten_variant(responses, STAMP)
+
+
+@_query
+def flatten_variant_choice(spark, sf_dir):
+    """The readings of `flatten_api_choice` as fields of one VARIANT."""
+    rows = _choices(spark, sf_dir)
+    fields = [c for c in rows.columns if c != "event_id"]
+    return rows.select("event_id", F.to_variant_object(F.struct(*fields)).alias("v")).select(
+        "event_id",
+        fn.resolve_variant(F.col("v"), "$.aqi", ("int",)).alias("aqi"),
+        *[fn.resolve_variant(F.col("v"), f"$.{c}").alias(c) for c in ("both", "single", "absent", "text")],
+    )
+
+
 @_query
 def ok_responses(spark, sf_dir):
     return op.ok_responses(_documents(spark, sf_dir)).select(
@@ -605,6 +643,79 @@ def refresh_backfill_station(spark, sf_dir):
     return sources.read_station_summary(spark, _backfilled(spark, sf_dir) + "/gold_station_summary")
 
 
+def _after_crash(spark, sf_dir):
+    """Gold after a refresh that broke off in the ranking, and after a full one that broke off in all tables.
+
+    What such a refresh leaves is a start in the ledger, and tables whose files the overwrite had removed.
+    """
+    root = shared_folder(spark, "lake")
+    silver_fact, silver_dim, gold = f"{root}/fact_aqi", f"{root}/dim_station", f"{root}/gold"
+    fact = op.dedup_latest(ad.fact_from_lineitem(spark, sf_dir))
+    year = F.year("measured_at")
+    sources.write_dim(ad.dim_from_supplier(spark, sf_dir), silver_dim)
+    for part in (year < 1995, year == 1995, year > 1995):
+        sources.write_fact(fact.filter(part), silver_fact)
+    plans.refresh_gold(spark, silver_fact, silver_dim, gold, LINEITEM_END)
+    note_start(spark, gold, full=True)
+    for name in ("gold_aqi_daily_summary", "gold_aqi_city_ranking", "gold_station_summary"):
+        remove(spark, f"{gold}/{name}")
+    plans.refresh_gold(spark, silver_fact, silver_dim, gold, LINEITEM_END)
+    note_start(spark, gold, full=False)
+    remove(spark, f"{gold}/gold_aqi_city_ranking")
+    plans.refresh_gold(spark, silver_fact, silver_dim, gold, LINEITEM_END)
+    return gold
+
+
+@_query
+def refresh_after_crash(spark, sf_dir):
+    """The daily table."""
+    return sources.read_daily(spark, _after_crash(spark, sf_dir) + "/gold_aqi_daily_summary")
+
+
+@_query
+def refresh_after_crash_ranking(spark, sf_dir):
+    return sources.read_ranking(spark, _after_crash(spark, sf_dir) + "/gold_aqi_city_ranking")
+
+
+@_query
+def refresh_after_crash_station(spark, sf_dir):
+    return sources.read_station_summary(spark, _after_crash(spark, sf_dir) + "/gold_station_summary")
+
+
+def _from_states(spark, sf_dir, tz=None):
+    """Gold from the partial states of three loads, the last one of old months; the first kept no states."""
+    root = shared_folder(spark, "lake")
+    silver_fact, silver_dim, gold = f"{root}/fact_aqi", f"{root}/dim_station", f"{root}/gold"
+    if tz:
+        fact = ad.hourly_fact_from_lineitem(spark, sf_dir)
+    else:
+        fact = op.dedup_latest(ad.fact_from_lineitem(spark, sf_dir))
+    year, kept = F.year("measured_at"), (plans.station_day_partials(tz),)
+    sources.write_dim(ad.dim_from_supplier(spark, sf_dir), silver_dim)
+    sources.write_fact(fact.filter(year == 1996), silver_fact)
+    sources.write_fact(fact.filter(year > 1996), silver_fact, partials=kept)
+    plans.refresh_gold(spark, silver_fact, silver_dim, gold, LINEITEM_END, tz=tz, states=True)
+    sources.write_fact(fact.filter(year < 1996), silver_fact, partials=kept)
+    plans.refresh_gold(spark, silver_fact, silver_dim, gold, LINEITEM_END, tz=tz, states=True)
+    return gold
+
+
+@_query
+def refresh_from_states(spark, sf_dir):
+    """The daily table, merged from what each load added."""
+    return sources.read_daily(spark, _from_states(spark, sf_dir) + "/gold_aqi_daily_summary")
+
+
+@_query
+def refresh_from_states_ranking(spark, sf_dir):
+    return sources.read_ranking(spark, _from_states(spark, sf_dir) + "/gold_aqi_city_ranking")
+
+
+@_query
+def refresh_from_states_station(spark, sf_dir):
+    return sources.read_station_summary(spark, _from_states(spark, sf_dir) + "/gold_station_summary")
+
+
 @_query
 def read_indented_bronze(spark, sf_dir):
     """Indented documents, one per file in Hive folders, as the feed writes them."""
@@ -615,6 +726,48 @@ def read_indented_bronze(spark, sf_dir):
     return op.flatten_api(sources.read_api_bronze(spark, path), STAMP).drop("source", "ingested_at")
 
 
+def _with_broken_documents(spark, sf_dir) -> str:
+    """Files of documents, one a line, between which some bodies are cut short, some are web pages and some are numbers."""
+    path = shared_folder(spark, "bronze")
+    documents = ad.documents_from_supplier(spark, sf_dir)
+    key = F.regexp_extract("value", r'"idx": (\d+)', 1).cast("int")
+    line = F.regexp_replace("value", r"\n\s*", " ")
+    broken = (
+        F.when(key % 5 == 1, F.substring(line, 1, 40))
+        .when(key % 5 == 2, F.concat(F.lit("<html>busy "), key, F.lit("</html>")))
+        .otherwise(line)
+    )
+    keys = ["queried_city", "year", "month", "day"]
+    documents.select(broken.alias("value"), *keys).write.partitionBy(*keys).text(path)
+    return path
+
+
+@_query
+def bronze_quarantine(spark, sf_dir):
+    """What a load of good and broken documents keeps of the broken ones; a replayed load adds nothing."""
+    src, root = _with_broken_documents(spark, sf_dir), shared_folder(spark, "lake")
+    as_of = datetime(2024, 1, 2, tzinfo=timezone.utc)
+    for checkpoint in ("first", "lost"):
+        streaming.run_incremental(
+            spark, src, f"{root}/{checkpoint}", f"{root}/fact", f"{root}/dim", as_of,
+            multi_line=False, stamped_at=as_of, quarantine=f"{root}/quarantine",
+        )
+    return sources.read_quarantine(spark, f"{root}/quarantine").groupBy("document").agg(
+        F.sum("copies").alias("copies"), F.min("noted_at").alias("noted_at")
+    )
+
+
+@_query
+def bronze_quarantine_runs(spark, sf_dir):
+    """What the load says about itself, and what it keeps of the good documents."""
+    src, root = _with_broken_documents(spark, sf_dir), shared_folder(spark, "lake")
+    as_of = datetime(2024, 1, 2, tzinfo=timezone.utc)
+    run = streaming.run_incremental(
+        spark, src, f"{root}/checkpoint", f"{root}/fact", f"{root}/dim", as_of, multi_line=False
+    )
+    return run.select("status", "raw_rows", "fresh_rows", "new_stations", "new_rows", "dropped_rows", "unreadable_rows")
+
+
 @_query
 def read_csv_headers(spark, sf_dir):
     """Historical CSV files with dirty headers, read as one batch and cleaned."""
@@ -677,6 +830,33 @@ def dq_report(spark, sf_dir):
     )
 
 
+def _loaded_by_days(spark, fact):
+    """A fact table of three loads that keep check counts; rows of the second are delivered twice."""
+    path = shared_folder(spark, "lake") + "/fact_aqi"
+    unique = op.dedup_latest(fact)
+    day = F.dayofmonth("measured_at")
+    for part in (day < 10, (day >= 10) & (day < 20), day >= 10):
+        sources.write_fact(unique.filter(part), path, partials=(plans.check_partials(),))
+    return path
+
+
+@_query
+def dq_report_merged(spark, sf_dir):
+    """The report out of the counts that three loads have kept."""
+    path = _loaded_by_days(spark, ad.fact_from_events(spark, sf_dir))
+    dim = ad.dim_from_customer(spark, sf_dir)
+    return plans.dq_check_merged(spark, path, dim, EVENTS_END, cities=ad.REGIONS)
+
+
+@_query
+def dq_report_merged_failing(spark, sf_dir):
+    """The same on damaged readings, with freshness beginning within an hour of stamps."""
+    path = _loaded_by_days(spark, _damaged(spark, sf_dir))
+    solvent = ad.dim_from_customer(spark, sf_dir).filter(F.col("queried_city") != "EUROPE")
+    as_of = datetime(2024, 1, 30, 12, 34, 56, tzinfo=timezone.utc)
+    return plans.dq_check_merged(spark, path, solvent, as_of, cities=ad.REGIONS)
+
+
 @_query
 def dq_report_failing(spark, sf_dir):
     solvent = ad.dim_from_customer(spark, sf_dir).filter(F.col("queried_city") != "EUROPE")
@@ -739,6 +919,24 @@ def sample_size(spark, sf_dir):
     )
 
 
+@_query
+def sample_seeded(spark, sf_dir):
+    """A tenth of the orders by the hash of their keys, the same on every run."""
+    orders = ad.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return op.sample_by_key(orders, 0.1, 7, ["o_orderkey"])
+
+
+@_query
+def approx_stations(spark, sf_dir):
+    """Stations by city and month: the exact count, and whether sketches of days merge to within five standard errors of it."""
+    fact = ad.fact_from_lineitem(spark, sf_dir)
+    keys = ["queried_city", "year", "month"]
+    estimate = op.approx_stations(op.station_sketches(fact), keys)
+    exact = fact.groupBy(*keys).agg(fn.distinct_count("waqi_idx").alias("stations"))
+    error = F.abs(F.col("station_count") - F.col("stations")) / F.col("stations")
+    return exact.join(estimate, keys).select(*keys, "stations", (error <= 5 * fn.sketch_error()).alias("close"))
+
+
 @_query
 def distinct_text(spark, sf_dir):
     return (
@@ -775,6 +973,6 @@ def gated_refresh(spark, sf_dir):
                 cities=cities,
             )
             .withColumn("run", F.lit(name))
-            .drop("ingested_at", "load_reason", "dropped_rows")
+            .drop("ingested_at", "load_reason", "dropped_rows", "unreadable_rows")
         )
     return rows[0].unionByName(rows[1])
