@@ -1,6 +1,6 @@
 """Token sequences packed to the brim: tokenised pieces of documents, put into bins by a grouping genetic algorithm.
 
-Words between white space are tokenised once per task and joined as bytes. Only documents longer than a
+Words are tokenised once per worker and joined as bytes. Only documents longer than a
 sequence are cut; full pieces are sequences already, the others are dealt at random into
 shards of some thousand, and each shard is packed by several islands. An island holds a few packings.
 A crossover takes whole well-filled bins of one packing into another, removes the bins that hold any of their
@@ -14,6 +14,8 @@ far fewer shards, until one shard is left. So the room that is lost does not gro
 """
 
 import random
+import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -28,8 +30,8 @@ from aeromart.llm.staging import staged
 from aeromart.llm.words import blocks
 from aeromart.session import staging
 
-#: Entries of a task's table of words; a longer word than LONG_WORD characters is not kept in it.
-TABLE_SIZE = 400_000
+#: Entries of a worker's tables of words and of their parts; longer ones than LONG_WORD characters are not kept.
+TABLE_SIZE = 800_000
 LONG_WORD = 64
 
 
@@ -47,16 +49,51 @@ class Packing:
     offspring: int = 3
 
 
+#: Texts of these characters are split as the tokenizer does: white space, printable ASCII and the letters of Latin-1, all in composed form.
+_PLAIN = re.compile(r"[\t-\r -~\xc0-\xd6\xd8-\xf6\xf8-\xff]*").fullmatch
+#: Fixed value: the tokenizer's parts of such a text in small letters.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+").findall
+
+
+class _Parts(dict):
+    """Token ids of the parts of words, by the tokenizer's own merges."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        # The characters that stand for the bytes of Latin-1 letters.
+        probe = {chr(b): tokenizer.pre_tokenizer.pre_tokenize_str(chr(b))[0][0] for b in [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]}
+        self.spelling = str.maketrans(probe)
+
+    def __missing__(self, part: str) -> bytes:
+        found = self.model.tokenize(part if part.isascii() else part.translate(self.spelling))
+        ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        if len(part) <= LONG_WORD:
+            if len(self) >= TABLE_SIZE:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class _Words(dict):
-    """Token ids of words, as little-endian 32-bit integers."""
+    """Token ids of words between white space, as little-endian 32-bit integers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.parts = _Parts(self.tokenizer)
+        samples = ["Don't  x1,2\n", "wORD!!! \xc9t\xe9\xdf", "#1'S we'll'd\t--' a'ma"]
+        self.by_part = all(self._by_part(t) == self._encoded(t) for t in samples)
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _by_part(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, _PARTS(text.lower())))
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        # "<|" may begin a special token.
+        ids = self._by_part(word) if self.by_part and _PLAIN(word) and "<|" not in word else self._encoded(word)
         if len(word) <= LONG_WORD:
             if len(self) >= TABLE_SIZE:
                 self.clear()
@@ -65,9 +102,11 @@ class _Words(dict):
 
     def ids(self, text: str) -> bytes:
         """The library's ids of the whole text: its white space separates words, and words do not touch each other."""
+        if self.by_part and _PLAIN(text) and "<|" not in text:
+            return self._by_part(text)
         # str.split also takes these four for white space, the tokenizer does not.
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._encoded(text)
         return b"".join(map(self.__getitem__, text.split()))
 
 
@@ -129,34 +168,41 @@ def best_fit(bins: Bins, fills: list[int], pieces: Iterable[int], lengths: list[
         stack.append(b)
 
 
+def given_back(fills: list[int], sizes: list[int], room: int) -> list[int]:
+    """The bins that a shard gives back: the least filled ones that are not full, at most one of 16 and half of the pieces."""
+    back, pieces, most = [], 0, sum(sizes) // 2
+    for b in sorted(range(len(fills)), key=lambda b: (fills[b], b))[: max(1, len(fills) // 16)]:
+        pieces += sizes[b]
+        if fills[b] == room or pieces > most:
+            break
+        back.append(b)
+    return back
+
+
 class Island:
-    """A population of packings of the same pieces, best first."""
+    """A population of packings of the same pieces, best first: (worth, bins, fills) each."""
 
     def __init__(self, lengths: list[int], packing: Packing, seed: str, members: list[list[int]]):
         self.lengths, self.packing, self.rng = lengths, packing, random.Random(seed)
         self.order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-        total, room = sum(lengths), packing.room
-        least = -(-total // room)
-        #: No packing has a better worth: the least number of bins, and all but one of them full.
-        self.best_worth = (least, -((least - 1) * room**2 + (total - (least - 1) * room) ** 2))
-        self.members = [self._judged(_bins_of(m)) for m in members] or self._first()
+        self.least = -(-sum(lengths) // packing.room)
+        self.members = [self._judged(*_bins_of(m, lengths)) for m in members] or self._first()
         self._keep()
 
-    def _judged(self, bins: Bins) -> tuple[tuple[int, int], Bins, list[int]]:
-        fills = [sum(self.lengths[i] for i in b) for b in bins]
-        return (len(bins), -sum(f * f for f in fills)), bins, fills
+    def _judged(self, bins: Bins, fills: list[int]) -> tuple[tuple[int, int], Bins, list[int]]:
+        """Fewer bins are better, then more room in few bins."""
+        return (len(bins), -sum([f * f for f in fills])), bins, fills
 
     def _first(self) -> list:
         found = []
         for k in range(self.packing.members):
             order = self.order
             if k:  # longest first, but for some noise
-                order = sorted(range(len(self.lengths)), key=lambda i: -self.lengths[i] * self.rng.uniform(1 - 0.1 * k, 1))
-            bins: Bins = []
-            best_fit(bins, [], order, self.lengths, self.packing.room)
-            found.append(self._judged(bins))
-            if found[-1][0] == self.best_worth:
-                break
+                noise = [-x * self.rng.uniform(1 - 0.1 * k, 1) for x in self.lengths]
+                order = sorted(range(len(noise)), key=noise.__getitem__)
+            bins, fills = [], []
+            best_fit(bins, fills, order, self.lengths, self.packing.room)
+            found.append(self._judged(bins, fills))
         return found
 
     def _keep(self) -> None:
@@ -168,29 +214,37 @@ class Island:
 
     @property
     def done(self) -> bool:
-        return self.members[0][0] == self.best_worth
-
-    def _crossed(self, mother: tuple, father: tuple) -> Bins:
+        """Can nothing be gained? The best packing has the least number of bins, and all its room lies in the bins that the shard gives back."""
+        _, bins, fills = self.members[0]
+        if len(bins) > self.least:
+            return False
+        room = self.packing.room
+        kept = {*range(len(fills))}.difference(given_back(fills, [*map(len, bins)], room))
+        return all(fills[b] == room for b in kept) or len(bins) == 1
+
+    def _crossed(self, mother: tuple, father: tuple) -> tuple[Bins, list[int]]:
         """Some of the father's fullest bins whole, the mother's bins that share no piece with them, and all other pieces by best fit."""
         _, bins, fills = father
         ranked = sorted(range(len(bins)), key=lambda b: -fills[b])
         taken = self.rng.sample(ranked[: max(1, len(ranked) // 2)], k=max(1, int(len(ranked) * self.rng.uniform(0.05, 0.3))))
-        return self._rebuilt([bins[b] for b in taken], mother[1])
+        placed = {i for b in taken for i in bins[b]}
+        others = [b for b, held in enumerate(mother[1]) if placed.isdisjoint(held)]
+        return self._refilled([bins[b] for b in taken] + [mother[1][b] for b in others], [fills[b] for b in taken] + [mother[2][b] for b in others])
 
-    def _mutated(self, member: tuple) -> Bins:
+    def _mutated(self, member: tuple) -> tuple[Bins, list[int]]:
         """All bins but the least filled ones and a few others, and the pieces of these by best fit."""
         _, bins, fills = member
-        emptied = {*sorted(range(len(bins)), key=lambda b: fills[b])[: self.rng.randint(1, 4)], *self.rng.sample(range(len(bins)), k=min(len(bins), self.rng.randint(1, 8)))}
-        return self._rebuilt([b for k, b in enumerate(bins) if k not in emptied], [])
-
-    def _rebuilt(self, whole: Bins, others: Bins) -> Bins:
-        placed = {i for b in whole for i in b}
-        bins = [*map(list, whole), *(list(b) for b in others if placed.isdisjoint(b))]
-        fills = [sum(self.lengths[i] for i in b) for b in bins]
-        held = {i for b in bins for i in b}
+        emptied = {*sorted(range(len(bins)), key=fills.__getitem__)[: self.rng.randint(1, 4)], *self.rng.sample(range(len(bins)), k=min(len(bins), self.rng.randint(1, 8)))}
+        left = [b for b in range(len(bins)) if b not in emptied]
+        return self._refilled([bins[b] for b in left], [fills[b] for b in left])
+
+    def _refilled(self, whole: Bins, fills: list[int]) -> tuple[Bins, list[int]]:
+        """The bins as they are, with all other pieces put in by best fit, longest first."""
+        bins = [*map(list, whole)]
+        held = set().union(*bins)
         displaced = [i for i in self.order if i not in held]
         best_fit(bins, fills, displaced, self.lengths, self.packing.room)
-        return bins
+        return bins, fills
 
     def evolve(self) -> None:
         for _ in range(self.packing.generations):
@@ -200,17 +254,19 @@ class Island:
             for _ in range(self.packing.offspring):
                 if len(self.members) > 1:
                     mother, father = self.rng.sample(self.members, k=2)
-                    young.append(self._judged(self._crossed(mother, father)))
-                young.append(self._judged(self._mutated(self.rng.choice(self.members))))
+                    young.append(self._judged(*self._crossed(mother, father)))
+                young.append(self._judged(*self._mutated(self.rng.choice(self.members))))
             self.members += young
             self._keep()
 
 
-def _bins_of(numbers: list[int]) -> Bins:
+def _bins_of(numbers: list[int], lengths: list[int]) -> tuple[Bins, list[int]]:
     bins: Bins = [[] for _ in range(max(numbers) + 1)]
+    fills = [0] * len(bins)
     for piece, b in enumerate(numbers):
         bins[b].append(piece)
-    return bins
+        fills[b] += lengths[piece]
+    return bins, fills
 
 
 def _numbers_of(bins: Bins, n: int) -> np.ndarray:
@@ -248,20 +304,16 @@ def _evolved(islands: DataFrame, packing: Packing, seed: str) -> DataFrame:
 def _placed(best: DataFrame, packing: Packing, last: bool) -> DataFrame:
     """row, length, sequence_id, offset and given_back of every piece. A sequence is named by its smallest row.
 
-    Given back are the least filled bins of a shard, at most one of 16 and half of the pieces; none if this is the last level.
+    Nothing is given back if this is the last level.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 found = batch.slice(k, 1).to_pylist()[0]
-                rows, lengths, bins = found["rows"], found["lengths"], _bins_of(found["numbers"])
-                fills = [sum(lengths[i] for i in b) for b in bins]
-                back, pieces = set(), 0
-                for b in [] if last else sorted(range(len(bins)), key=lambda b: (fills[b], b))[: max(1, len(bins) // 16)]:
-                    pieces += len(bins[b])
-                    if fills[b] < packing.room and 2 * pieces <= len(rows):
-                        back.add(b)
+                rows, lengths = found["rows"], found["lengths"]
+                bins, fills = _bins_of(found["numbers"], lengths)
+                back = set() if last else {*given_back(fills, [*map(len, bins)], packing.room)}
                 out = []
                 for b, members in enumerate(bins):
                     name, offset = min(rows[i] for i in members), 0
