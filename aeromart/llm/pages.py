@@ -5,12 +5,13 @@ notices, adverts, forms, scripts and comments, as their elements, roles and clas
 article only names that can mean nothing else count; headings are never judged by their names there.
 If the page has an article (or main) element, only lines inside it can be text. What markup does not
 tell is found by comparison: pages are sorted by URL path within their host, each page's lines are
-aligned with those of its neighbour by longest common subsequence, and shared lines are deleted, inside
-an article too, unless the pages share most of their text, which makes them copies and not
-pages of one template.
+aligned with those of its neighbour by longest common subsequence, and shared lines are deleted, unless the pages share
+most of their text, which makes them copies and not pages of one template. Inside an article, where a
+sentence or a licence note of the author's may well occur on the near page too, only the lines go with which the articles of the page and of
+both its neighbours begin or end, each in the same elements: bylines, share bars and author boxes.
 
-Pages are dealt out in ranges of (host, path, url, id), all of about the same number of pages, so that a host with
-a third of all pages is spread over many tasks. The last page of a range and the first of the next are
+Pages are dealt out in ranges of (host, path, url, id), a fixed number of them for each shuffle partition and all of about the same
+number of pages, so that a host with a third of all pages is spread over many tasks. The last page of a range and the first of the next are
 sent to both, so that every page meets its nearest neighbours wherever a range ends. A task reads its pages in
 order and holds three at a time. The html is shuffled once.
 """
@@ -27,8 +28,7 @@ from pyspark.sql import functions as F
 
 from aeromart.llm.words import blocks
 
-BLOCK_PAGES = 2000
-#: So many ranges for each shuffle partition at least, for even tasks.
+#: So many ranges for each shuffle partition, for even tasks. Their bounds are all that the driver holds.
 RANGES = 3
 #: Pages that share so much of what the markup leaves are copies.
 COPY_SHARE = 0.7
@@ -74,15 +74,21 @@ class _Open:
     tag: str
     drop: bool
     article: bool
+    path: str = ""
 
 
 @dataclass
 class Page:
-    """Lines of a page: `texts`, and whether each is content by its markup and inside an article."""
+    """Lines of a page: `texts`, whether each is content by its markup and inside an article, and the block elements it is in."""
 
     texts: list[str] = field(default_factory=list)
     content: list[bool] = field(default_factory=list)
     article: list[bool] = field(default_factory=list)
+    paths: list[str] = field(default_factory=list)
+
+    def inside(self) -> list[tuple[str, str]]:
+        """(text, elements) of the lines of the article."""
+        return [(t, p) for t, p, c, a in zip(self.texts, self.paths, self.content, self.article, strict=True) if c and a]
 
 
 def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
@@ -122,6 +128,7 @@ def lines_of(markup: str) -> Page:
                 page.texts.append(text)
                 page.content.append(not stack[-1].drop)
                 page.article.append(stack[-1].article)
+                page.paths.append(stack[-1].path)
 
     for found in _TOKEN.finditer(markup):
         raw, slash, tag, attributes, text = found.groups()
@@ -153,7 +160,8 @@ def lines_of(markup: str) -> Page:
             drop = top.drop or _dropped(tag, attributes, top.article)
             if drop != top.drop:
                 close()
-            stack.append(_Open(tag, drop, top.article or (not drop and (tag in ("article", "main") or bool(re.search(r"""role\s*=\s*["']?main\b""", attributes, re.I))))))
+            path = f"{top.path}/{tag}" if tag in BREAKS else top.path
+            stack.append(_Open(tag, drop, top.article or (not drop and (tag in ("article", "main") or bool(re.search(r"""role\s*=\s*["']?main\b""", attributes, re.I)))), path))
         elif raw is not None and raw.lower() not in ("svg",):
             held.append("")
     close()
@@ -191,22 +199,38 @@ def common_lines(own: list[str], other: list[str]) -> set[int]:
     return found
 
 
-def main_text(page: Page, *neighbours: Page | None) -> str:
+def article_lines(own: list[tuple[str, str]], others: list[list[tuple[str, str]]]) -> list[tuple[str, str]]:
+    """The lines of an article without those with which it and two others begin or end alike.
+
+    If these make up most of the article, or all of another, the pages are copies, and nothing goes.
+    """
+    if len(others) < 2:
+        return own
+    shortest = min(map(len, [own, *others]))
+    head = next((k for k in range(shortest) if any(x[k] != own[k] for x in others)), shortest)
+    tail = next((k for k in range(shortest - head) if any(x[-1 - k] != own[-1 - k] for x in others)), shortest - head)
+    kept = own[head : len(own) - tail]
+    whole = sum(len(t) for t, _ in own)
+    if head + tail == shortest or whole - sum(len(t) for t, _ in kept) >= COPY_SHARE * whole:
+        return own
+    return kept
+
+
+def main_text(page: Page, *neighbours: Page) -> str:
     """The lines that are text, joined by an empty line. The nearest neighbour comes first; of a copy the next one is asked."""
-    loose = [i for i, (c, a) in enumerate(zip(page.content, page.article, strict=True)) if c and not a]
-    inside = [i for i, (c, a) in enumerate(zip(page.content, page.article, strict=True)) if c and a]
-    kept = inside or loose
+    if inside := page.inside():
+        return "\n\n".join(t for t, _ in article_lines(inside, [x.inside() for x in neighbours]))
+    kept = [i for i, c in enumerate(page.content) if c]
     for other in neighbours:
-        shared = common_lines(page.texts, other.texts) if other else set()
+        shared = common_lines(page.texts, other.texts)
         if sum(len(page.texts[i]) for i in kept if i in shared) < COPY_SHARE * sum(len(page.texts[i]) for i in kept):
             return "\n\n".join(page.texts[i] for i in kept if i not in shared)
     return "\n\n".join(page.texts[i] for i in kept)
 
 
-def _ranges(keys: DataFrame, block_pages: int) -> tuple[list[str], list[str]]:
-    """(bounds, last): ascending first keys of all ranges but the lowest, and the last key of each range. Both are short lists of keys."""
+def _ranges(keys: DataFrame, parts: int) -> tuple[list[str], list[str]]:
+    """(bounds, last): ascending first keys of all ranges but the lowest, and the last key of each range. Their number does not grow with the pages."""
     n = keys.count()
-    parts = max(RANGES * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // block_pages))
     # An even sample by hash tells where ranges begin; the result does not depend on it.
     every = max(1, n // (16 * parts))
     drawn = sorted(r[0] for r in keys.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).distinct().collect())
@@ -231,20 +255,22 @@ def _range_of(key: Column, bounds: list[str]) -> Column:
     return low + F.size(F.filter(F.slice(_listed(bounds), low + 1, wide), lambda b: b <= key))
 
 
-def extract_text(pages: DataFrame, block_pages: int = BLOCK_PAGES) -> DataFrame:
+def extract_text(pages: DataFrame, ranges: int | None = None) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every row of `pages`.
 
     Null or empty html gives an empty text. A page that is alone on its host is judged by its markup
-    alone. Rows that repeat are neighbours of each other and, being copies, lose nothing. Null urls
-    and ids are allowed. The result does not depend on `block_pages`, the most pages of a range. Other columns are not read.
+    alone. The first and the last page of a host have one neighbour, so their articles stay whole. Rows that repeat are
+    neighbours of each other and, being copies, lose nothing. Null urls and ids are allowed. The result does not
+    depend on the number of `ranges`. Other columns are not read.
     """
+    ranges = ranges or RANGES * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     url = F.coalesce("url", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^#]*)", 1)
     stem = F.regexp_replace(F.regexp_replace(path, r"\?.*$", ""), r"(/|\.[A-Za-z]{2,5})$", "")
     # Line ends in urls would break the lists of keys; the first character sorts below all others.
     key = F.translate(F.concat_ws("\u0001", host, stem, url, F.coalesce(F.col("page_id").cast("string"), F.lit(""))), "\r\n", "  ")
-    bounds, last = _ranges(pages.select(key.alias("key")), block_pages)
+    bounds, last = _ranges(pages.select(key.alias("key")), ranges)
     part = _range_of(F.col("key"), bounds)
     first = F.col("key") == F.get(_listed(["", *bounds]), F.col("part"))
     ends = F.col("key") == F.get(_listed(last), F.col("part"))
