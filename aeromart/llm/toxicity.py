@@ -4,7 +4,7 @@ Learning. A token is a lower-cased run of letters; its first 6, 7 and 8 bytes co
 so that a form that was never seen can be judged by its stem. Over a bounded sample of labelled documents, the
 document counts of every token in toxic and in other documents give a log-odds ratio with an
 informative Dirichlet prior (the prior of a token is proportional to its overall count). Tokens whose ratio is significantly positive
-make up the table, at most TABLE_TOKENS of them; any other token scores REST.
+make up the table, all of them: the sample bounds it. Any other token scores REST.
 
 Scanning. All maximal scoring segments of a document are found in linear time (Ruzzo and Tompa);
 between two tabled tokens the scores are constant, so only tabled tokens are visited. A segment of
@@ -26,7 +26,6 @@ from aeromart.llm import words as W
 from aeromart.llm.labelled import LABELLED_ROWS, labelled_texts, sample_labels
 
 STEMS = (6, 7, 8)
-TABLE_TOKENS = 20_000
 #: Score of a token outside the table; below zero, so that segments end.
 REST = -0.4
 #: Least z-score of a tabled token, and least number of toxic documents that hold it.
@@ -187,8 +186,6 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound
         .withColumn("score", odds(F.col("toxic"), F.col("all_toxic")) - odds(F.col("others"), F.col("all_others")))
         .withColumn("z", F.col("score") / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("others") + prior)))
         .where(f"z >= {LEAST_Z} AND score > 0")
-        .orderBy(F.desc("z"), "token")
-        .limit(TABLE_TOKENS)
         .select("token", "score")
         .toArrow()
     )
