@@ -2,21 +2,28 @@
 
 A text's units are its lines and, where several lines have words, the whole text. A unit is normalised to lower-case letters and digits, and
 its set of word bigrams is compared with that of each licence template by the Dice coefficient
-2 |A n B| / (|A| + |B|). Two bounds prune without loss:
+2 |A n B| / (|A| + |B|). Three bounds prune without loss:
 
-* Dice >= t needs t / (2 - t) <= |B| / |A| <= (2 - t) / t, so only templates of a fitting size are compared;
+* Dice >= t needs t / (2 - t) of a template's bigrams in the unit. A few words, chosen so that more of every template's bigrams
+  hold one of them than may be missing, must therefore occur in a unit, and in its text: a text without any is not even normalised;
+* it needs t / (2 - t) <= |B| / |A| <= (2 - t) / t, so only templates of a fitting size are compared;
 * it also needs t / (2 - t) of the unit's bigrams to occur in some template, which is a set lookup
   per bigram and stops nearly every unit before any template is looked at.
 
 Nothing is shuffled: the templates are literals of the plan, a fixed list.
 """
 
+from collections import Counter
 from collections.abc import Mapping
+from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+#: Bounds give way by so much, so that rounding never rules out a unit that lies at the threshold.
+SLACK = 1e-9
 SEPARATORS = r"[^\p{L}\p{N}\n]+"
 
 _AS_IS = (
@@ -153,6 +160,30 @@ def template_bigrams(templates: Mapping[str, str] = TEMPLATES) -> dict[str, list
     return out
 
 
+def gate_words(known: Mapping[str, list[str]], threshold: float) -> list[str]:
+    """Words of which a unit must hold one to be as similar as `threshold` to any of the templates.
+
+    Of a template with n bigrams at most n - n t / (2 - t) may be missing; the words are taken greedily, long ones
+    first, until more bigrams than that hold one of them.
+    """
+    need = {name: len(own) - ceil(len(own) * threshold / (2 - threshold) - SLACK) + 1 for name, own in known.items()}
+    left = {name: list(own) for name, own in known.items()}
+    words: list[str] = []
+    while any(n > 0 for n in need.values()):
+        gain: dict[str, int] = {}
+        for name, own in left.items():
+            if need[name] > 0:
+                for word, n in Counter(w for b in own for w in set(b.split())).items():
+                    gain[word] = gain.get(word, 0) + min(n, need[name])
+        best = min(gain, key=lambda w: (len(w) < 5, -gain[w], w))
+        words.append(best)
+        for name, own in left.items():
+            rest = [b for b in own if best not in b]  # as texts are searched for it, also inside words
+            need[name] -= len(own) - len(rest)
+            left[name] = rest
+    return sorted(words)
+
+
 def licence_units(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, line, licence, n_shared, dice: for each unit the template with the largest Dice of at least `threshold`.
 
@@ -161,16 +192,22 @@ def licence_units(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, thr
     null id stays null. Other columns are not read.
     """
     known = template_bigrams(templates)
-    widest, least = (2 - threshold) / threshold, threshold / (2 - threshold)
+    widest, least = (2 - threshold) / threshold + SLACK, threshold / (2 - threshold) - SLACK
     sizes = [len(b) for b in known.values()]
+    gate = gate_words(known, threshold)
+
+    def may_match(column: Column) -> Column:
+        return reduce(Column.__or__, [column.contains(w) for w in gate])
+
     text = normalised(F.col("text"))
     lines = F.split(F.col("norm"), "\n")
     filled = F.size(F.filter(lines, lambda u: F.trim(u) != ""))
     whole = F.when(filled > 1, F.translate("norm", "\n", " ")).otherwise("")
     units = (
-        docs.select("doc_id", text.alias("norm"))
+        docs.where(may_match(F.lower("text")))
+        .select("doc_id", text.alias("norm"))
         .select("doc_id", F.posexplode(F.concat(F.array(whole), lines)).alias("line", "unit"))
-        .where(F.length("unit") > 2)
+        .where(may_match(F.col("unit")))
         .select("doc_id", "line", bigrams(unit_words(F.col("unit"))).alias("own"))
         .where(F.size("own").between(int(least * min(sizes)), int(widest * max(sizes)) + 1))
         .where(F.size(F.filter("own", lambda b: b.isin(sorted({x for y in known.values() for x in y})))) >= least * F.size("own"))

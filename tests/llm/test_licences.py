@@ -25,5 +25,15 @@ def test_varied_notices_and_full_texts(frame):
     assert not {r[0] for r in found} & {50, 51}
 
 
+def test_no_unit_passes_the_gate_and_is_similar():
+    """Units made of a template's bigrams without the gate's words are all below the threshold."""
+    known = licences.template_bigrams()
+    gate = licences.gate_words(known, licences.THRESHOLD)
+    assert len(gate) < 40
+    for own in known.values():
+        rest = [b for b in own if not any(w in b for w in gate)]
+        assert 2 * len(rest) / (len(rest) + len(own)) < licences.THRESHOLD
+
+
 def test_templates_fit_the_sql():
     assert max(map(len, licences.template_bigrams().values())) <= 266
