@@ -21,7 +21,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +33,8 @@ BINS = 1 << 16
 HOT, HOT_LEAST = 8, 1000
 #: A reducer sorts at least so many fingerprints at a time, if its partition has them.
 PIECE = 1 << 20
-#: Stands for a missing id, which is later than any other.
-NO_ID = 2**63 - 1
+#: A missing id becomes one of so many at the upper end, by the text: later than any other, and not one key for all such rows.
+NO_IDS = 1 << 40
 
 _OCCURRENCES = "key int, id long, place long, n int, windows binary"
 
@@ -102,8 +102,12 @@ def text_marks(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return (W.mixed(sums[first[1:]] - sums[first[:-1]]) >> np.uint64(33)).astype(np.uint32)
 
 
+def _id(docs: DataFrame) -> Column:
+    return F.coalesce(docs["doc_id"], F.lit(2**63 - 1) - F.pmod(F.xxhash64(docs["text"]), F.lit(NO_IDS)))
+
+
 def _with_id(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text")
+    return docs.select(_id(docs).alias("id"), "text")
 
 
 def hot_bins(docs: DataFrame, size: int = SIZE) -> np.ndarray:
@@ -211,7 +215,7 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
 def repeated_windows(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """(id, runs): per document the runs of windows whose words occur earlier, as (mark, start, n).
 
-    Earlier means a smaller id or, in the same document, an earlier start. `id` is doc_id, or NO_ID for a
+    Earlier means a smaller id or, in the same document, an earlier start. `id` is doc_id, or a number that stands for a
     missing one; `mark` tells apart the texts of rows that share an id.
     """
     hot = hot_bins(docs, size)
@@ -250,7 +254,7 @@ def _reduced(block: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, bytes
 def _joined(docs: DataFrame, size: int) -> DataFrame:
     """docs with the column `runs`. The runs are the small side, so the texts are shuffled but not sorted."""
     runs = repeated_windows(docs, size).withColumnRenamed("id", "_id").hint("shuffle_hash")
-    return docs.join(runs, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == F.col("_id"), "left").drop("_id")
+    return docs.join(runs, _id(docs) == F.col("_id"), "left").drop("_id")
 
 
 def repeat_digests(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -259,7 +263,7 @@ def repeat_digests(docs: DataFrame, size: int = SIZE) -> DataFrame:
     A word is removed if a window that holds it occurs earlier. A null or empty text, or one with fewer words
     than a window, loses nothing. Rows with the same id and words count as one text, and neither is
     earlier than the other; rows with the same id and other words come in a fixed order. A null id is
-    later than any other. Other columns are not read.
+    later than any other, and rows without one come in the order of a hash of their texts. Other columns are not read.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -51,6 +51,25 @@ def test_rows_that_share_an_id_and_rows_without_one(frame):
     assert substrings.repeat_digests(frame([])).count() == 0
 
 
+def test_rows_without_an_id_are_spread_and_later_than_all_others(frame):
+    passage = " ".join(f"w{i}" for i in range(25))
+    rows = [(None, f"{passage} {k}") for k in range(40)] + [(None, None), (2**62, f"x {passage}")]
+    found = substrings.repeat_digests(frame(rows)).collect()
+    assert sorted(r["n_removed"] for r in found if r["doc_id"] is None) == [0] + [25] * 40
+    assert [r["n_removed"] for r in found if r["doc_id"]] == [0]
+    assert substrings._with_id(frame(rows)).select("id").distinct().count() == 42
+    # Without any other id one of them is the first.
+    alone = substrings.repeat_digests(frame(rows[:40])).collect()
+    assert sorted(r["n_removed"] for r in alone) == [0] + [25] * 39
+
+
+def test_clashing_columns_pass(frame):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = frame([(1, text), (2, text)]).withColumnsRenamed({"lang": "_id", "source": "row"})
+    kept = substrings.remove_repeats(docs)
+    assert kept.columns == docs.columns and sorted(r["text"] for r in kept.collect()) == ["", text]
+
+
 def test_the_texts_keep_their_other_columns(frame):
     text = " ".join(f"w{i}" for i in range(30))
     kept = substrings.remove_repeats(frame([(1, text), (2, "before " + text + "  after"), (3, " as  it is"), (4, None)]))
