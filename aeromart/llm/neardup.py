@@ -3,26 +3,28 @@
 1. A document's set holds the 63-bit hashes of its distinct word shingles; its sketch is the SKETCH
    smallest of them. Documents with equal sets form one class, and only classes go on.
 2. Inverted lists. Two sets with a Jaccard similarity of at least t share at least s sketch values: for sets that fit
-   in a sketch this follows from the sizes, for larger ones s lies DEVIATIONS standard deviations below the
-   expected t k. In one order of all values, rarest first, such sketches must then
+   in a sketch this follows from the sizes, for larger ones s is the largest number that they fall short of with a
+   chance of CHANCE at most, by the tail of the binomial distribution. In one order of all values, rarest first, such sketches must then
    share a value among their first k - s + 1. Only those values are listed, and only where a second class has
    the value, so a passage that many documents share puts none of them on a list.
    The place of a value in that order also bounds what two sets of given sizes can share.
 3. Candidates. Lists of up to SHORT classes give their pairs. Classes on longer lists are listed anew by
-   their full sets, where the bounds are exact. On a list that is still long, a hub is compared with
+   their full sets, where the bounds on the places are exact. On a list that is still long, a hub is compared with
    the members outside its component, in rounds with more hubs each, until the list
    lies in one component or each member has been a hub. A group of thousands of near copies is
-   thereby joined without all its pairs, and no link between components is missed.
+   thereby joined without all its pairs.
 4. The k smallest values of the union of two sketches are a sample of the union of the sets: pairs whose share of common
-   values there is too low are dropped. The others are confirmed on the full sets.
+   values there is too low (again with a chance of CHANCE at most for a similar pair) are dropped. The others are confirmed
+   on the full sets.
 
-Exact copies of the sketch tables, lists and links are Parquet in the shared folder; nothing but
-counts reaches the driver.
+The tables of sketches, lists and links are Parquet in the shared folder, and are removed after their last
+reader; nothing but counts reaches the driver.
 """
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from math import sqrt
+from functools import lru_cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +33,29 @@ from pyspark.sql import functions as F
 
 from aeromart.llm import words as W
 from aeromart.llm.components import components
-from aeromart.llm.staging import staged
+from aeromart.llm.staging import discard, staged
 from aeromart.session import staging
 
 SKETCH = 128
-#: A link may share so many standard deviations fewer sketch values than expected (one in three million does not).
-DEVIATIONS = 5
+#: The chance with which a bound on sampled values may fail for a pair of similar sets.
+CHANCE = 1e-9
+#: Shares of foreign values are rounded up to multiples of 1 / STEPS.
+STEPS = 64
 SHORT = 40
 GROWTH = 64
 
 
+@lru_cache(maxsize=256)
+def most(k: int, numerator: int, denominator: int) -> int:
+    """The least number that a sample of k with the given share of foreign values exceeds with a chance of CHANCE at most."""
+    share, tail = min(1.0, numerator / denominator), 0.0
+    for n in range(k, 0, -1):
+        tail += comb(k, n) * share**n * (1 - share) ** (k - n)
+        if tail > CHANCE:
+            return n
+    return 0
+
+
 @dataclass(frozen=True)
 class Rule:
     """Words per shingle, least similarity in percent, size of a sketch."""
@@ -52,8 +67,7 @@ class Rule:
     @property
     def shared_of_full(self) -> int:
         """Least number of common values among the `sketch` smallest of a union of larger sets."""
-        t, k = self.percent / 100, self.sketch
-        return max(1, int(t * k - DEVIATIONS * sqrt(k * t * (1 - t))))
+        return max(1, self.sketch - most(self.sketch, 100 - self.percent, 100))
 
     def listed(self, n: Column) -> Column:
         """How many of a set's sketch values are listed."""
@@ -69,13 +83,14 @@ class Rule:
         """How many sketch values of a set of n may be foreign to a similar set of size `other`.
 
         Of the larger set a share m = 1 - c / max(n, other) is foreign, c being the least number of common
-        shingles. Sets that fit in a sketch have n - c foreign values at most. Of larger ones,
-        k m are expected in a sketch of k. If only one set fits, nothing is ruled out.
+        shingles. Sets that fit in a sketch have n - c foreign values at most. Of larger ones, a sketch of k
+        has `most(k, m)`. If only one set fits, nothing is ruled out.
         """
-        k = F.lit(float(self.sketch))
+        k = F.lit(self.sketch)
         common = (n + other) * self.percent / (100 + self.percent)
         m = F.greatest(1 - common / F.greatest(n, other), F.lit(0.0))
-        sampled = k * m + DEVIATIONS * F.sqrt(k * m * (1 - m)) + 1
+        limits = F.array(*[F.lit(most(self.sketch, i, STEPS)) for i in range(STEPS + 1)])
+        sampled = F.get(limits, F.least(F.ceil(m * STEPS), F.lit(STEPS)).cast("int"))
         return F.when((n <= k) & (other <= k), n - common).when((n > k) & (other > k), sampled).otherwise(k)
 
     def may_meet(self, n_a: Column, at_a: Column, n_b: Column, at_b: Column, exact: bool) -> Column:
@@ -142,10 +157,12 @@ class _Search:
 
     def __init__(self, docs: DataFrame, rule: Rule):
         self.rule = rule
-        self.documents = staged(sketches(docs.where("doc_id IS NOT NULL"), rule), "sketches")
-        filled = self.documents.where("n > 0")
+        own = staged(sketches(docs.where("doc_id IS NOT NULL"), rule), "sketches")
+        self.documents = staged(own.drop("sketch"), "documents")
+        filled = own.where("n > 0")
         #: One row per distinct set: its smallest id, its size and its sketch.
         self.classes = staged(filled.groupBy("high", "low", "n").agg(F.min("doc_id").alias("class"), F.min_by("sketch", "doc_id").alias("sketch")), "classes")
+        discard(own)
         values = self.classes.select("class", "n", F.col("high").alias("set"), F.explode("sketch").alias("value"))
         kept = F.least(F.col("n"), F.lit(rule.sketch))
         self.lists = staged(self._listed(values, kept, rule.listed(F.col("n"))), "lists")
@@ -197,10 +214,11 @@ class _Search:
             found = self._of_full_sets(inside)
             known = components(found).toDF("class", "component")
         last = self._all_pairs(short, known, exact=False)
+        discard(self.lists, self.counts, self.sets)
         return last if found is None else found.unionByName(last)
 
     def _of_full_sets(self, classes: DataFrame) -> DataFrame:
-        """Links between classes of long lists, from lists of their full sets, where nothing is left to chance."""
+        """Links between classes of long lists, from lists of their full sets, whose bounds on the places are exact."""
         sets = self.sets.join(classes, "class", "left_semi")
         n = F.size("all").cast("long").alias("n")
         values = sets.select("class", "set", n, F.explode("all").alias("value"))
@@ -209,6 +227,7 @@ class _Search:
         long = staged(lists.groupBy("value").count().where(F.col("count") > SHORT).select("value"), "full-long")
         links, known = self._by_hubs(lists.join(long, "value", "left_semi"))
         rest = self._all_pairs(lists.join(long, "value", "left_anti"), known, exact=True)
+        discard(lists)
         return rest if links is None else links.unionByName(rest)
 
     def _all_pairs(self, members: DataFrame, known: DataFrame | None, exact: bool) -> DataFrame:
@@ -236,6 +255,7 @@ class _Search:
             salt = F.pmod(F.xxhash64("class"), F.lit(salts))
             hubs = staged(free.groupBy("value", salt.alias("salt")).agg(F.min(F.struct("place", "class", "n", "component")).alias("hub")), "hubs")
             if hubs.isEmpty():
+                discard(state)
                 return links, known
             apart = (state["class"] != F.col("hub.class")) & (state["component"] != F.col("hub.component"))
             apart &= self.rule.may_meet(state["n"], state["place"], F.col("hub.n"), F.col("hub.place"), exact=True)
@@ -248,7 +268,8 @@ class _Search:
             if not found.isEmpty():
                 links = found if links is None else links.unionByName(found)
                 known = components(links).toDF("class", "component")
-                state = staged(self.labelled(state, known), "state")
+                old, state = state, staged(self.labelled(state, known), "state")
+                discard(old)
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008

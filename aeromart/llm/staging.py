@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame
 
-from aeromart.session import shared_folder, stage
+from aeromart.session import remove, shared_folder, stage
 
 
 def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
@@ -15,3 +15,10 @@ def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     path = shared_folder(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of staged tables that nothing reads any more."""
+    for table in tables:
+        for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            remove(table.sparkSession, folder)
