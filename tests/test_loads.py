@@ -31,7 +31,7 @@ def test_broken_files_are_kept_and_good_rows_unchanged(spark, tmp_path):
         assert (run["raw_rows"], run["fresh_rows"], run["new_rows"]) == (7, 3, new)
         assert (run["dropped_rows"], run["unreadable_rows"]) == (2, 2)
     kept = am.read_quarantine(spark, f"{root}/quarantine").collect()
-    assert sorted(r["document"].strip() for r in kept) == sorted(broken)
+    assert sorted(r["document"].strip() for r in kept) == sorted(text.strip() for text in broken)
     assert all(r["copies"] == 1 and "/broken" in r["file"] for r in kept)
     assert sorted(r["waqi_idx"] for r in am.read_fact(spark, f"{root}/fact").collect()) == [1, 2, 3]
     plain = am.flatten_api(am.read_api_bronze(spark, str(src)), "now").collect()
