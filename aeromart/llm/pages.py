@@ -8,7 +8,7 @@ tell is found by comparison: pages are sorted by URL path within their host, eac
 aligned with those of its neighbour by longest common subsequence, and shared lines are deleted, unless the pages share
 most of their text, which makes them copies and not pages of one template. Inside an article, where a
 sentence or a licence note of the author's may well occur on the near page too, only the lines go with which the articles of the page and of
-both its neighbours begin or end, each in the same elements: bylines, share bars and author boxes.
+both its neighbours begin or end, if they stand in elements of their own: bylines, share bars and author boxes.
 
 Pages are dealt out in ranges of (host, path, url, id), a fixed number of them for each shuffle partition and all of about the same
 number of pages, so that a host with a third of all pages is spread over many tasks. The last page of a range and the first of the next are
@@ -200,20 +200,26 @@ def common_lines(own: list[str], other: list[str]) -> set[int]:
 
 
 def article_lines(own: list[tuple[str, str]], others: list[list[tuple[str, str]]]) -> list[tuple[str, str]]:
-    """The lines of an article without those with which it and two others begin or end alike.
+    """The lines of an article without those with which it and two others begin or end alike, and which its markup sets apart.
 
-    If these make up most of the article, or all of another, the pages are copies, and nothing goes.
+    Set apart is what stands in other elements than the lines between, and is no heading: a first sentence that three
+    pages share is text. If the shared lines make up most of the article, or all of another, the pages are copies, and nothing goes.
     """
     if len(others) < 2:
         return own
     shortest = min(map(len, [own, *others]))
     head = next((k for k in range(shortest) if any(x[k] != own[k] for x in others)), shortest)
     tail = next((k for k in range(shortest - head) if any(x[-1 - k] != own[-1 - k] for x in others)), shortest - head)
-    kept = own[head : len(own) - tail]
+    between = own[head : len(own) - tail]
     whole = sum(len(t) for t, _ in own)
-    if head + tail == shortest or whole - sum(len(t) for t, _ in kept) >= COPY_SHARE * whole:
+    if head + tail == shortest or whole - sum(len(t) for t, _ in between) >= COPY_SHARE * whole:
         return own
-    return kept
+    usual = {p for _, p in between}
+
+    def stays(line: tuple[str, str]) -> bool:
+        return line[1] in usual or line[1].rpartition("/")[2] in HEADINGS
+
+    return [*filter(stays, own[:head]), *between, *filter(stays, own[len(own) - tail :])]
 
 
 def main_text(page: Page, *neighbours: Page) -> str:
