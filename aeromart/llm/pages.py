@@ -222,8 +222,9 @@ def article_lines(own: list[tuple[str, str]], others: list[list[tuple[str, str]]
     return [*filter(stays, own[:head]), *between, *filter(stays, own[len(own) - tail :])]
 
 
-def main_text(page: Page, *neighbours: Page) -> str:
+def main_text(page: Page, *found: Page | None) -> str:
     """The lines that are text, joined by an empty line. The nearest neighbour comes first; of a copy the next one is asked."""
+    neighbours = [x for x in found if x]
     if inside := page.inside():
         return "\n\n".join(t for t, _ in article_lines(inside, [x.inside() for x in neighbours]))
     kept = [i for i, c in enumerate(page.content) if c]
