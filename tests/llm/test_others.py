@@ -55,6 +55,56 @@ def test_model_is_a_distribution():
     assert np.allclose(maxent._expected(weights, np.zeros(maxent.CLASSES, np.float32), features).sum(1), 1, atol=1e-5)
 
 
+def test_gradient_and_scores_by_a_plain_loop(spark, frame):
+    """Observed less expected counts, and the score of every text, token by token from the formula."""
+    import numpy as np
+
+    rng = random.Random(5)
+    words = [f"w{i}{e}" for i in range(40) for e in ("", ".", "a")]
+    rows = [(i, " ".join(rng.choice(words[: rng.choice([5, 120])]) for _ in range(rng.randint(0, 30)))) for i in range(40)]
+    docs, learnt = frame(rows), remainder(5) != 1
+    vocabulary = maxent.vocabulary(docs.where(learnt))
+    encoded = staged(maxent.encode(docs, learnt, vocabulary), "test-encoded")
+    bias = np.log(vocabulary.prior()).astype(np.float32)
+    weights = np.random.default_rng(1).normal(0, 0.5, (maxent.TEMPLATES * maxent.ROWS, maxent.CLASSES)).astype(np.float32)
+
+    def histories(row):
+        classes, hashes = np.frombuffer(row["classes"], np.uint8).tolist(), np.frombuffer(row["hashes"], np.uint16).tolist()
+        for k, own in enumerate(classes):
+            c1, c2, c3 = (classes[k - j] if k >= j else 0 for j in (1, 2, 3))
+            h1, h2 = (hashes[k - j] if k >= j else 0 for j in (1, 2))
+            r = maxent.ROWS
+            yield own, [h1 % r, r + c2 * maxent.CLASSES + c1, 2 * r + (h2 * 2654435761 >> 7) % r, 3 * r + c3 * maxent.CLASSES + c1]
+
+    def shares(model, rows_of):
+        logits = sum(model[k].astype(float) for k in rows_of) + bias
+        e = np.exp(np.clip(logits, -30, 30))
+        return e / e.sum()
+
+    wanted, texts = np.zeros(weights.shape), encoded.collect()
+    for row in texts:
+        for own, places in histories(row) if row["train"] else ():
+            rest = -shares(weights, places)
+            rest[own] += 1
+            for k in places:
+                wanted[k] += rest
+    observed = maxent.observed_counts(encoded)
+    assert np.allclose(maxent.gradient(encoded, weights, bias, observed), wanted, atol=1e-3)
+
+    model = maxent.train(encoded, bias, maxent.UPDATES)
+    counts = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1 for w in t.encode().lower().split())
+    unseen = vocabulary.unseen()
+    scores = {r["doc_id"]: r["score"] for r in maxent.score_texts(docs, learnt).collect()}
+    for row in texts:
+        total = 0.0
+        for (own, places), word in zip(histories(row), [*dict(rows)[row["doc_id"]].encode().lower().split(), None], strict=True):
+            total += math.log(shares(model, places)[own])
+            if word is not None:
+                n = counts[word]
+                total += math.log((1 - unseen[own]) * n / vocabulary.inside[own] if n else unseen[own])
+        assert scores[row["doc_id"]] == pytest.approx(total / math.log(10), rel=1e-4)
+
+
 PAGE = """<html><head><title>t</title></head><body><header><h1>Site</h1></header><nav>menu</nav><div class="cookie-notice">We use</div>
 <div id="content"><h1>T &amp; x</h1><p>One<br>two <b>bo</b>ld<p>Three<ul><li>a<li>b</ul><form>f</form><div class="comments"><p>c1</div></div>
 <aside>s</aside><footer>f</footer><script>var a="<p>no</p>"</script>"""
