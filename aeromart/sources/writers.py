@@ -105,10 +105,11 @@ def insert_new(
     return _save(fresh, path, "append", partition_cols, table)
 
 
-def _unseen(batch: DataFrame, path: str, keys, prune_cols=(), schema=None) -> DataFrame:
+def _unseen(batch: DataFrame, path: str, keys, prune_cols=(), schema=None, values: DataFrame | None = None) -> DataFrame:
+    """`values` are the values of `prune_cols` in the batch, where they are known already."""
     target = read_table(batch.sparkSession, path, schema or batch.schema, missing_ok=True)
     if prune_cols:
-        target = in_span(target, prune_cols, span(batch, prune_cols))
+        target = in_span(target, prune_cols, span(batch if values is None else values, prune_cols))
     return new_only(batch, target, keys)
 
 
@@ -122,17 +123,19 @@ def write_fact(
     ledger first: a load that breaks off may cost a refresh, but is never overlooked by one.
 
     `partials` are summaries to be kept of what is inserted, for `read_partials`. The rows to insert are then
-    staged: the table and all summaries are written from the same rows.
+    staged: the table and all summaries are written from the same rows. The months are read back from the ledger, so
+    `df` is computed twice, for them and for the rows.
     """
     load_id = note_load(df, path)
-    keys, about = ("waqi_idx", "measured_at"), {"prune_cols": MONTH_PARTITIONS, "schema": FACT_SCHEMA}
+    months = read_loads(df.sparkSession, path).filter(F.col("load_id") == load_id)
+    fresh = _unseen(df, path, ("waqi_idx", "measured_at"), MONTH_PARTITIONS, FACT_SCHEMA, months)
     if not partials:
-        return insert_new(df, path, keys, FACT_PARTITIONS, table=table, **about)
+        return _save(fresh, path, "append", FACT_PARTITIONS, table)
     with staging(df.sparkSession):
-        fresh = stage(_unseen(df, path, keys, **about), "fresh")
+        fresh = stage(fresh, "fresh")
         rows = _save(fresh, path, "append", FACT_PARTITIONS, table)
         for kind in partials:
-            note_part(fresh, df, path, kind, load_id)
+            note_part(fresh, months, path, kind, load_id)
     return rows
 
 

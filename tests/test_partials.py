@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import aeromart as am
+from aeromart.sources import writers
 from aeromart import session
 from aeromart.plans import gold as gold_module
 from aeromart.sources import partials as parts_module
@@ -184,3 +185,12 @@ def test_stamps_of_gold_in_both_modes(spark):
     for table in (daily, am.city_ranking(daily, fact), am.station_summary(fact, dim)):
         stamps = {r[0] for r in table.select(F.unix_micros("_aggregated_at")).collect()}
         assert len(stamps) == 1 and before - 1 <= stamps.pop() / 1e6 <= datetime.now(timezone.utc).timestamp() + 1
+
+
+def test_a_load_takes_its_months_from_the_ledger(spark, tmp_path, monkeypatch):
+    """The batch may be costly to compute: its span of months is not taken from it again."""
+    asked, span, path = [], writers.span, str(tmp_path / "fact")
+    monkeypatch.setattr(writers, "span", lambda df, cols: asked.append(df.columns) or span(df, cols))
+    assert am.write_fact(fact_rows(spark, [(1, 1, 0), (2, 1, 0)]), path) == 4
+    assert am.write_fact(fact_rows(spark, [(2, 1, 0), (2, 2, 0)]), path, partials=(am.check_partials(),)) == 2
+    assert asked and all("load_id" in columns for columns in asked)
