@@ -197,14 +197,21 @@ def insert_bucketed(
 ) -> int:
     """`insert_new` into a catalog table at `path` whose files are bucketed and sorted by the keys.
 
-    The table's side of the anti-join is already laid out by its keys, so only the batch is shuffled, however
+    The table's side of the anti-join is already laid out by its keys, so only the batch's keys are shuffled to it, however
     large it is. Keys are spread over the buckets as a whole: a station with very many readings is in all of
-    them. Keys must not be NULL. The number of buckets is fixed when the table is made.
+    them. Rows travel in parts of bounded size: a large bucket is written by several tasks, in a file each. Keys must not
+    be NULL. The number of buckets is fixed when the table is made; `batch` is read twice.
     """
     spark = batch.sparkSession
-    fresh = unseen_in_bucketed(batch, table, keys) if spark.catalog.tableExists(table) else batch
+    fresh = batch
+    if spark.catalog.tableExists(table):
+        new = unseen_in_bucketed(batch.select(*keys), table, keys).toDF(*[f"_new_{k}" for k in keys])
+        same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`_new_{k}`")) for k in keys]
+        fresh = batch.join(new, same, "left_semi")
     counted = Observation()
-    rows = fresh.repartition(buckets, *keys).observe(counted, F.count(F.lit(1)).alias("rows"))
+    bucket = F.pmod(F.hash(*keys), F.lit(buckets))
+    rows = _laid_out(fresh.withColumn("_bucket", bucket), ["_bucket"]).drop("_bucket")
+    rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = rows.write.mode("append").format("parquet").option("path", path).option("compression", "snappy")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)

@@ -59,6 +59,23 @@ def test_only_the_batch_is_shuffled_to_a_bucketed_table(spark, tmp_path):
         spark.sql("DROP TABLE IF EXISTS am_bucketed")
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    keys, path = ("waqi_idx", "measured_at"), tmp_path / "fact"
+    rows = fact_rows(spark, [(1, d, h) for d in range(1, 29) for h in range(24)], stations=range(1, 11)).repartition(8)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "4096")
+    try:
+        assert am.insert_bucketed(rows.filter("waqi_idx > 5"), "am_parts", str(path), keys, 2) == 3360
+        assert len(list(path.glob("*.parquet"))) > 2
+        assert am.insert_bucketed(rows, "am_parts", str(path), keys, 2) == 3360
+        assert am.insert_bucketed(rows, "am_parts", str(path), keys, 2) == 0
+        assert spark.table("am_parts").distinct().count() == spark.table("am_parts").count() == 6720
+    finally:
+        spark.conf.set(size, before)
+        spark.sql("DROP TABLE IF EXISTS am_parts")
+
+
 def test_a_seeded_sample_is_the_same_however_the_rows_lie(spark):
     rows = spark.range(20_000).select("id", (F.col("id") % 5000).alias("k"))
     one = am.sample_by_key(rows, 0.2, 3, ["k"])
