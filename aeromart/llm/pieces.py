@@ -4,7 +4,7 @@ A chunk is a run of word markers with the other characters that follow it. Where
 vocabulary holds a marker after another character, no merge can cross the border of two chunks, so
 a text's ids are its chunks' ids in order. Each task keeps a table chunk -> ids: a chunk is
 segmented the first time it is met and looked up afterwards, and the ids are joined back by
-position. The table is emptied when it holds `table_size` chunks, which bounds memory and changes
+position. The table is emptied when it holds `table_size` chunks and when the task ends, which bounds memory and changes
 no result. Nothing is shuffled. A vocabulary for which the rule does not hold is used on whole
 texts.
 """
@@ -13,6 +13,7 @@ import hashlib
 import itertools
 import re
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -20,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from aeromart.llm.words import blocks
+from aeromart.llm.words import SMALL_BLOCK, blocks
 
 MARK = "▁"
-TABLE_SIZE = 400_000
+TABLE_SIZE = 200_000
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -93,6 +94,16 @@ def encoder(model_path: str, table_size: int = TABLE_SIZE) -> Encoder:
     return Encoder(model_path, table_size)
 
 
+@contextmanager
+def coding(model_path: str, table_size: int = TABLE_SIZE) -> Iterator[Encoder]:
+    """The encoder for one task. The worker outlives the task, and must not hold its table meanwhile."""
+    coder = encoder(model_path, table_size)
+    try:
+        yield coder
+    finally:
+        coder.table.clear()
+
+
 def encode_texts(docs: DataFrame, model_path: str, column: str = "text", out: str = "ids", table_size: int = TABLE_SIZE) -> DataFrame:
     """The rows of `docs` with the token ids of `column` in `out`, an array of ints.
 
@@ -103,13 +114,13 @@ def encode_texts(docs: DataFrame, model_path: str, column: str = "text", out: st
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(model_path, table_size)
-        for block in blocks(batches, column):
-            ids = coder.encode(block[column].to_pylist())
-            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-            yield pa.RecordBatch.from_arrays([*block.columns, lists], names=[*block.schema.names, out])
+        with coding(model_path, table_size) as coder:
+            for block in blocks(batches, column, SMALL_BLOCK):
+                ids = coder.encode(block[column].to_pylist())
+                offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                lists = pa.ListArray.from_arrays(pa.array(offsets), values)
+                yield pa.RecordBatch.from_arrays([*block.columns, lists], names=[*block.schema.names, out])
 
     return docs.mapInArrow(run, schema)
 
@@ -139,15 +150,15 @@ def tokenised(docs: DataFrame, model_path: str, column: str = "text", table_size
     docs = docs.drop(*(f.name for f in added))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(model_path, table_size)
-        for block in blocks(batches, column):
-            texts = block[column].to_pylist()
-            ids = coder.encode(texts)
-            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-            same = [a == (b or "") for a, b in zip(coder.decode(ids), texts, strict=True)]
-            columns = [*block.columns, lists, pa.array(np.diff(offsets).astype(np.int64)), pa.array(same)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*block.schema.names, *(f.name for f in added)])
+        with coding(model_path, table_size) as coder:
+            for block in blocks(batches, column, SMALL_BLOCK):
+                texts = block[column].to_pylist()
+                ids = coder.encode(texts)
+                offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+                same = [a == (b or "") for a, b in zip(coder.decode(ids), texts, strict=True)]
+                columns = [*block.columns, lists, pa.array(np.diff(offsets).astype(np.int64)), pa.array(same)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*block.schema.names, *(f.name for f in added)])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
@@ -162,18 +173,18 @@ def token_digests(docs: DataFrame, model_path: str, table_size: int = TABLE_SIZE
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(model_path, table_size)
-        for block in blocks(batches, "text"):
-            ids = coder.encode(block["text"].to_pylist())
-            decoded = coder.decode(ids)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block["doc_id"],
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                    pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded]),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        with coding(model_path, table_size) as coder:
+            for block in blocks(batches, "text", SMALL_BLOCK):
+                ids = coder.encode(block["text"].to_pylist())
+                decoded = coder.decode(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        block["doc_id"],
+                        pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
+                        pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded]),
+                    ],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     return docs.select("doc_id", "text").mapInArrow(run, DIGESTS)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from aeromart.llm import statistics, trees
 from aeromart.llm.labelled import LABELLED_ROWS, labelled_texts, sample_labels
-from aeromart.llm.words import Texts, blocks
+from aeromart.llm.words import SMALL_BLOCK, Texts, blocks
 
 THRESHOLD = 0.7
 
@@ -23,7 +23,7 @@ def sample_matrix(docs: DataFrame, labels: DataFrame, label: str, bound: int = L
     """(statistics, labels) of a bounded sample of labelled documents, in an order that does not vary."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SMALL_BLOCK):
             matrix = statistics.measure(Texts(block["text"]))[1]
             values = pa.FixedSizeListArray.from_arrays(pa.array(matrix.ravel()), matrix.shape[1]).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([block["doc_id"], block["label"], values], names=["doc_id", "label", "x"])
@@ -50,7 +50,7 @@ def score_quality(docs: DataFrame, model: trees.Trees, threshold: float = THRESH
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SMALL_BLOCK):
             score = model.probabilities(statistics.measure(Texts(block["text"]))[1])
             yield pa.RecordBatch.from_arrays([block["doc_id"], pa.array(score)], names=["doc_id", "score"])
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from aeromart.llm import statistics, trees
 from aeromart.llm.labelled import LABELLED_ROWS
 from aeromart.llm.quality import sample_matrix
-from aeromart.llm.words import Texts, blocks
+from aeromart.llm.words import SMALL_BLOCK, Texts, blocks
 
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
@@ -44,7 +44,7 @@ def quality_rules(docs: DataFrame, model: trees.Trees, keep_from: float = KEEP_F
     schema = "doc_id long, " + ", ".join(f"{n} long" for n in statistics.BASE) + ", base_failed boolean, kept boolean"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SMALL_BLOCK):
             found = judge(block["text"], model, keep_from)
             yield pa.RecordBatch.from_arrays([block["doc_id"], *(pa.array(found[n]) for n in MEASURES)], names=["doc_id", *MEASURES])
 
@@ -55,7 +55,7 @@ def keep_good(docs: DataFrame, model: trees.Trees, keep_from: float = KEEP_FROM)
     """The rows of `docs` that the rules keep, with all their columns."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SMALL_BLOCK):
             yield block.filter(pa.array(judge(block["text"], model, keep_from)["kept"]))
 
     return docs.mapInArrow(run, T.StructType(docs.schema.fields))

@@ -1,6 +1,7 @@
 """Counts against plain Python, trees against their constraints, segments against all intervals, held-out accuracy."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 
 from aeromart.llm import quality, rules, statistics, toxicity, trees
 from aeromart.llm.queries import QUERIES
-from aeromart.llm.words import Texts
+from aeromart.llm.words import Texts, blocks
 
 SF = "/root/testdata/sf0.01"
 
@@ -138,3 +139,15 @@ def test_odd_rows_and_no_labels(frame, spark):
     scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, none)).collect()
     assert len(scored) == 5 and all(r["predicted"] == 0 for r in scored)
     assert quality.score_quality(frame([]), trees.constant()).count() == 0
+
+
+def test_a_large_batch_is_judged_in_little_memory():
+    text = " ".join(f"word{i % 997} and, more. words" for i in range(20_000))
+    texts = pa.array([text] * 10)  # some 4 MB
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    tracemalloc.start()
+    for block in blocks([batch], "text", rules.SMALL_BLOCK):
+        rules.judge(block["text"], trees.constant())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6

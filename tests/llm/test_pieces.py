@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -54,3 +55,16 @@ def test_digests_and_round_trip(frame, library):
     texts = pieces.decode_ids(pieces.encode_texts(frame([(1, "one two"), (2, None)]), tokenizer_path()), tokenizer_path(), out="back")
     assert [r["back"] for r in texts.orderBy("doc_id").collect()] == ["one two", ""]
     assert pieces.token_digests(frame([]), tokenizer_path()).count() == 0
+
+
+def test_a_worker_keeps_no_table_after_its_task(frame, spark):
+    pieces.tokenised(frame([(i, f"word{i} and more") for i in range(64)]), tokenizer_path()).count()
+    rows = pieces.tokenised(frame([(i, f"word{i} and more") for i in range(64)]), tokenizer_path()).collect()
+    assert len(rows) == 64
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(pieces.encoder(tokenizer_path(), pieces.TABLE_SIZE).table)] * batch.num_rows)], names=["held"])
+
+    found = spark.range(0, 64, 1, 8).mapInArrow(held, "held long").collect()
+    assert {r["held"] for r in found} == {0}
