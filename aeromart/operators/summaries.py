@@ -71,13 +71,14 @@ def _merged() -> list[Column]:
     ]
 
 
-def station_days(fact: DataFrame, tz: str | None = None) -> DataFrame:
+def station_days(fact: DataFrame, tz: str | None = None, also=()) -> DataFrame:
     """Mergeable sums, counts, extremes and pollutant counts by station, city, day and pollutant.
 
     Every gold table follows from these rows. A station reports some times a day, so there are far fewer of them than
-    readings. Rows of several loads with the same key stand side by side and are merged when read.
+    readings. Rows of several loads with the same key stand side by side and are merged when read. `also` names further
+    keys by which the readings are laid out.
     """
-    keys = ["waqi_idx", "queried_city", "date", "dominant_pollutant", *MONTHLY_KEYS[1:]]
+    keys = ["waqi_idx", "queried_city", "date", "dominant_pollutant", *MONTHLY_KEYS[1:], *also]
     return _partials(with_date(fact, tz=tz), keys)
 
 

@@ -14,12 +14,14 @@ from ..fixed import (
     STATION_DAYS_SCHEMA,
 )
 from ..operators.quality import check_groups, freshness_cutoff, report_of_groups
-from ..operators.summaries import station_days
+from ..operators.summaries import MEASURES, station_days
 from ..sources.partials import Partials, in_months, read_partials
 from ..sources.readers import read_fact
 
 #: Leading characters of a stamp that name its hour: `yyyy-mm-ddThh`.
 HOUR_CHARS = 13
+#: Into so many parts a month's stations are spread: the tasks that may write one month, and its files by load.
+STATION_PARTS = 32
 
 
 def check_partials(lo=AQI_MIN, hi=AQI_MAX) -> Partials:
@@ -35,10 +37,21 @@ def check_partials(lo=AQI_MIN, hi=AQI_MAX) -> Partials:
 
 
 def station_day_partials(tz: str | None = None) -> Partials:
-    """`station_days` by the days of `tz`."""
+    """`station_days` by the days of `tz`.
+
+    There are nearly as many of them as readings. The readings are spread by month and part of the stations, which serves
+    the grouping and the layout of the files, so that the wider states are not shuffled.
+    """
     name = "station_days" + ("_" + tz.replace("/", "-") if tz else "")
     fields = STATION_DAYS_SCHEMA.fieldNames()
-    return Partials(name, STATION_DAYS_SCHEMA, lambda fact: station_days(fact, tz).select(*fields))
+
+    def of(fact: DataFrame) -> DataFrame:
+        read = ["waqi_idx", "queried_city", "measured_at", "dominant_pollutant", *MEASURES, *MONTH_PARTITIONS]
+        part = F.pmod(F.hash("waqi_idx"), F.lit(STATION_PARTS)).alias("_part")
+        spread = fact.select(*read, part).repartition(*MONTH_PARTITIONS, "_part")
+        return station_days(spread, tz, also=("_part",)).select(*fields)
+
+    return Partials(name, STATION_DAYS_SCHEMA, of, laid_out=True)
 
 
 def dq_check_merged(

@@ -25,12 +25,13 @@ MONTH = list(MONTH_PARTITIONS)
 class Partials(NamedTuple):
     """A kind of partial result: the name of its table, its columns, and how they come from fact rows.
 
-    `of` returns the columns of `schema`, which end with year and month.
+    `of` returns the columns of `schema`, which end with year and month; `laid_out` says that its tasks hold few months each.
     """
 
     name: str
     schema: T.StructType
     of: Callable[[DataFrame], DataFrame]
+    laid_out: bool = False
 
 
 def _rows_path(fact_path: str, kind: Partials) -> str:
@@ -63,7 +64,7 @@ def note_part(
     """
     part_id = uuid.uuid4().hex
     rows = kind.of(fresh).withColumn("part_id", F.lit(part_id))
-    laid_out = rows.hint("rebalance", *[F.col(c) for c in MONTH])
+    laid_out = rows if kind.laid_out else rows.hint("rebalance", *[F.col(c) for c in MONTH])
     laid_out.write.mode("append").partitionBy(*MONTH).parquet(_rows_path(fact_path, kind))
     noted = months.select(
         F.lit(part_id).alias("part_id"),

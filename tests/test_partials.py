@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import aeromart as am
+from aeromart.fixed import FACT_SCHEMA
 from aeromart.sources import writers
 from aeromart import session
 from aeromart.plans import gold as gold_module
@@ -194,3 +195,12 @@ def test_a_load_takes_its_months_from_the_ledger(spark, tmp_path, monkeypatch):
     assert am.write_fact(fact_rows(spark, [(1, 1, 0), (2, 1, 0)]), path) == 4
     assert am.write_fact(fact_rows(spark, [(2, 1, 0), (2, 2, 0)]), path, partials=(am.check_partials(),)) == 2
     assert asked and all("load_id" in columns for columns in asked)
+
+
+def test_states_of_a_load_are_shuffled_once(spark):
+    fact = spark.createDataFrame([], FACT_SCHEMA)
+    plan = am.station_day_partials().of(fact)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [year" in plan
+    physical = am.station_day_partials().of(spark.range(10).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in FACT_SCHEMA]))
+    text = physical._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and am.station_day_partials().laid_out
