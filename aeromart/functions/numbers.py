@@ -23,6 +23,18 @@ def _quoted(path: str) -> str:
     return ".".join(f"`{part}`" for part in path.split("."))
 
 
+def number_in(text: Column) -> Column:
+    """Text to double; text that is not a number becomes NULL.
+
+    A cast that fails costs a Java exception, some ten times the cast: text without a digit, `inf` or `nan` is left out.
+    """
+    return F.when(text.rlike("[0-9]|(?i:inf|nan)"), text.try_cast("double"))
+
+
+def _double(value: Column, kind: T.DataType) -> Column:
+    return number_in(value) if isinstance(kind, T.StringType) else value.try_cast("double")
+
+
 def resolve_num(col) -> Column:
     """Number held in a text column; text that is not a number becomes NULL."""
     return (F.col(col) if isinstance(col, str) else col).try_cast("double")
@@ -39,7 +51,7 @@ def resolve_choice(name: str, schema: T.StructType, branches=("double", "int"))
         return F.lit(None).cast("double")
     value = F.col(_quoted(name))
     if not isinstance(kind, T.StructType):
-        return value.try_cast("double")
+        return _double(value, kind)
     present = [value.getField(b).try_cast("double") for b in branches if b in kind.fieldNames()]
     return F.coalesce(*present) if present else F.lit(None).cast("double")
 
@@ -55,12 +67,12 @@ def resolve_variant(value: Column, path: str = "$", branches=("double", "int"))
 
 def clean_numeric(name: str, schema: T.StructType) -> Column:
     """Top-level column to double: the double branch of a struct, else a cast; bad text is NULL."""
-    value = F.col(f"`{name}`")
-    if isinstance(schema[name].dataType, T.StructType):
-        value = value.getField("double")
-    return value.try_cast("double")
+    value, kind = F.col(f"`{name}`"), schema[name].dataType
+    if isinstance(kind, T.StructType):
+        value, kind = value.getField("double"), kind["double"].dataType
+    return _double(value, kind)
 
 
 def strip_thousands(col: Column) -> Column:
     """`1,012` to 1012.0."""
-    return F.regexp_replace(col.cast("string"), ",", "").try_cast("double")
+    return number_in(F.regexp_replace(col.cast("string"), ",", ""))

@@ -12,6 +12,7 @@ from ..fixed import (
     POLLUTANT_NULL_TOKENS,
     TOP_LEVEL,
 )
+from .numbers import number_in
 
 
 def clean_string(col: Column, tokens=NULL_TOKENS) -> Column:
@@ -27,7 +28,7 @@ def clean_pollutant(col: Column, tokens=NULL_TOKENS) -> Column:
 def split_location(col: Column) -> tuple[Column, Column]:
     """`"lat,lon"` to two doubles; a part that is missing or not a number is NULL."""
     parts = F.split(col, ",")
-    return tuple(F.get(parts, F.lit(i)).try_cast("double") for i in (0, 1))
+    return tuple(number_in(F.get(parts, F.lit(i))) for i in (0, 1))
 
 
 def classify_by_keyword(col: Column, mapping=CITY_KEYWORDS) -> Column:
