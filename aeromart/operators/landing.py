@@ -46,13 +46,15 @@ def ingest_outcomes(
     ).withColumns({"city": F.col("_pair.city"), "_doc": F.col("_pair.doc")})
     doc = F.col("_doc")
     status = F.try_variant_get(doc, "$.status", "string")
+    # What has `data.time` has `data`, and what has a status is an object: the many good bodies are told by two look-ups.
+    good = F.coalesce(status == "ok", F.lit(False)) & _is_object(doc, "$.data.time")
     outcome = (
-        F.when(F.col("body").isNull(), "network")
+        F.when(good, "success")
+        .when(F.col("body").isNull(), "network")
         .when(doc.isNull(), "api_status")
         .when(~_is_object(doc, "$"), "unknown")
         .when(status.isNull() | (status != "ok"), "api_status")
-        .when(~_is_object(doc, "$.data") | ~_is_object(doc, "$.data.time"), "unknown")
-        .otherwise("success")
+        .otherwise("unknown")
     )
 
     def on_success(col):

@@ -24,6 +24,7 @@ from ..fixed import (
     REFRESHES_SCHEMA,
     STARTS_SCHEMA,
 )
+from ..functions import bronze_key
 from ..operators.cleaning import new_only
 from ..operators.landing import landable
 from ..session import stage, staging
@@ -285,6 +286,7 @@ def _landed(responses: DataFrame, columns) -> DataFrame:
         F.date_format(at, "dd").alias("day"),
         at,
         "ingestion_id",
-        "s3_key",
+        # The key of `landable` is there on success alone, so it would judge the document once more.
+        bronze_key(F.col("city"), at).alias("s3_key"),
         F.lit(LANDED_SOURCE).alias("source"),
     )

@@ -221,7 +221,9 @@ def responses_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(value > 150, "<html>busy</html>")
         .otherwise(document)
     )
-    return events_with_place(spark, sf_dir).select(
+    # The table is few files, and each event becomes a document: its rows are spread before they grow.
+    spread = events_with_place(spark, sf_dir).repartition(4 * spark.sparkContext.defaultParallelism, "event_id")
+    return spread.select(
         F.concat(F.lit(" "), F.translate("queried_city", " ", "-"), F.lit(" ,")).alias("city"),
         body.alias("body"),
         F.col("at").alias("ingested_at"),

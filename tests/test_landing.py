@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import aeromart as am
+from aeromart.workload import adapters as ad
 
 AT = datetime(2026, 4, 11, 17, 0, 5)
 
@@ -104,3 +105,8 @@ def test_a_large_landing_stays_readable_line_by_line(spark, tmp_path):
     am.land_bronze(many, path)
     back = am.read_api_bronze(spark, path, multi_line=False)
     assert back.agg(F.count("data.idx"), F.countDistinct("data.idx")).first() == (500, 500)
+
+
+def test_events_are_spread_before_they_become_documents(spark):
+    responses = ad.responses_from_events(spark, "/root/testdata/sf0.001")
+    assert "REPARTITION_BY_NUM" in responses._jdf.queryExecution().executedPlan().toString()
