@@ -14,8 +14,10 @@ Training. The vocabulary is counted over all training texts. Then all texts are
 class and word hash per token, as packed bytes. Every update is one pass over all training tokens: tasks
 add up, per feature row and class, how often the class came less how often the model expected it;
 the sums meet by feature row in a shuffle; and the driver, which holds only the weights (of fixed size), moves
-every weight along this gradient, scaled by the larger of the two. In the first update the model is the same for all
-histories, so that counts suffice; they are kept for the scaling.
+every weight along this gradient less PENALTY times the weight (a Gaussian prior), scaled by the larger of the two. In the
+first update the model is the same for all histories, so that counts suffice; they are kept for the scaling.
+One training text in JUDGED, drawn by its content, is kept out of these sums. Updates go on until one lowers the
+mean loss of the judged texts' tokens by less than TOLERANCE of it; the weights with the lowest loss stay.
 
 Only frequent words (at most FREQUENT) are sent to the tasks. Counts of the other words are joined to
 the texts' own rare words by a shuffle.
@@ -40,15 +42,21 @@ CLASSES, SINGLES = 64, 31
 FORMS = CLASSES - 1 - SINGLES
 ROWS = 4096
 FREQUENT = 200_000
-UPDATES = 2
-STEP, PRIOR = 0.5, 4.0
-#: Tokens per numpy step: few enough for their class scores to stay in the processor's cache.
-CHUNK = 4096
+#: A bound on the updates for callers that want one; None: the judged texts alone decide.
+UPDATES: int | None = None
+STEP, PRIOR, PENALTY = 0.5, 4.0, 2.0
+JUDGED, TOLERANCE = 16, 1e-3
+#: Weights stay within this, so that no product of their exponentials leaves the range of a float32.
+LARGEST = 12.0
+#: Tokens per numpy step: few enough for their class scores to stay in the processor's cache; and per step that adds them up.
+CHUNK, SPREAD = 4096, 16384
+#: Tokens whose features are held at once.
+HELD_TOKENS = 1 << 18
 #: Distinct words a task counts before it passes them on.
 HELD_WORDS = 500_000
 
 _COUNTS = "word string, n long"
-_ENCODED = "doc_id long, train boolean, n_tokens long, n_frequent long, base double, inner double, classes binary, hashes binary, rare array<struct<word: string, form: int, n: int>>"
+_ENCODED = "doc_id long, train boolean, judged boolean, n_tokens long, n_frequent long, base double, inner double, classes binary, hashes binary, rare array<struct<word: string, form: int, n: int>>"
 
 
 def form(word: bytes) -> int:
@@ -156,17 +164,18 @@ def encode(docs: DataFrame, learnt: Column, words: Vocabulary) -> DataFrame:
                 hashes[:-1][~known] = [zlib.crc32(w) & 0xFFFF for w in rare]
                 held = [{"word": w.decode(), "form": f, "n": n} for (w, f), n in Counter(zip(rare, forms, strict=True)).items()]
                 p = places[known]
-                rows.append((len(found) + 1, len(p) + ends_known, float(base[p].sum()) + end_base, float(shares[p].sum()), classes.tobytes(), hashes.tobytes(), held))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.struct([("word", pa.string()), ("form", pa.int32()), ("n", pa.int32())])))
+                drawn = zlib.crc32(hashes.tobytes(), zlib.crc32(classes.tobytes())) % JUDGED == 0
+                rows.append((drawn, len(found) + 1, len(p) + ends_known, float(base[p].sum()) + end_base, float(shares[p].sum()), classes.tobytes(), hashes.tobytes(), held))
+            kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.struct([("word", pa.string()), ("form", pa.int32()), ("n", pa.int32())])))
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([block["doc_id"], block["train"], *columns], names=["doc_id", "train", "n_tokens", "n_frequent", "base", "inner", "classes", "hashes", "rare"])
+            yield pa.RecordBatch.from_arrays([block["doc_id"], block["train"], *columns], names=["doc_id", "train", "judged", "n_tokens", "n_frequent", "base", "inner", "classes", "hashes", "rare"])
 
     return docs.select("doc_id", "text", F.coalesce(learnt, F.lit(False)).alias("train")).mapInArrow(run, _ENCODED)
 
 
 def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """(batch, first, classes, features): the tokens of a block of encoded texts; features has a row index for each of the four templates."""
-    for block in blocks(batches, "classes", 1 << 20):
+    for block in blocks(batches, "classes", HELD_TOKENS):
         classes = np.frombuffer(b"".join(block["classes"].to_pylist()), np.uint8)
         hashes = np.frombuffer(b"".join(block["hashes"].to_pylist()), np.uint16)
         first = np.concatenate(([0], np.cumsum(block["n_tokens"].to_numpy())))
@@ -189,15 +198,33 @@ def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 TEMPLATES = 4
 
 
-def _expected(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
+def _factors(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Exponentials of the weights, taken once and multiplied for every token; those of the first template hold the bias."""
+    factors = np.exp(np.clip(weights, -LARGEST, LARGEST)).astype(np.float32)
+    factors[:ROWS] *= np.exp(bias)
+    return factors
+
+
+def _shares(factors: np.ndarray, features: np.ndarray) -> np.ndarray:
     """P(class | history) of each token."""
-    logits = np.take(weights, features[0], axis=0)
+    shares = np.take(factors, features[0], axis=0)
     for rows in features[1:]:
-        logits += np.take(weights, rows, axis=0)
-    logits += bias
-    np.exp(np.clip(logits, -30, 30, out=logits), out=logits)
-    logits *= 1 / logits.sum(1, keepdims=True)
-    return logits
+        shares *= np.take(factors, rows, axis=0)
+    shares *= 1 / shares.sum(1, keepdims=True)
+    return shares
+
+
+def _expected(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
+    return _shares(_factors(weights, bias), features)
+
+
+def _logs(factors: np.ndarray, classes: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """log P(class | history) of each token's own class."""
+    logs = np.zeros(len(classes))
+    for low in range(0, len(classes), CHUNK):
+        own = classes[low : low + CHUNK]
+        logs[low : low + CHUNK] = np.log(_shares(factors, features[:, low : low + CHUNK])[np.arange(len(own)), own])
+    return logs
 
 
 def _gathered(sums_of: Callable) -> Callable:
@@ -248,29 +275,65 @@ def observed_counts(encoded: DataFrame) -> np.ndarray:
 def gradient(encoded: DataFrame, weights: np.ndarray, bias: np.ndarray, observed: np.ndarray) -> np.ndarray:
     """Observed less expected counts of each class under each feature row. The observed ones are the same in every pass."""
 
+    factors = _factors(weights, bias)
+
     def expect(sums: np.ndarray, classes: np.ndarray, features: np.ndarray) -> None:
-        for low in range(0, len(classes), CHUNK):
-            rows = features[:, low : low + CHUNK]
-            share = _expected(weights, bias, rows)
-            for r in rows:
-                order = np.argsort(r.astype(np.uint16), kind="stable")
-                ordered = r[order]
-                heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-                sums[ordered[heads]] += np.add.reduceat(np.take(share, order, axis=0), heads, axis=0)
+        # Two neighbouring classes are one complex number: half as many additions by index.
+        pairs = np.zeros((CLASSES // 2, TEMPLATES * ROWS), np.complex64)
+        for low in range(0, len(classes), SPREAD):
+            rows = features[:, low : low + SPREAD]
+            shares = np.concatenate([_shares(factors, rows[:, k : k + CHUNK]) for k in range(0, rows.shape[1], CHUNK)])
+            for pair, values in zip(pairs, np.ascontiguousarray(shares.view(np.complex64).T), strict=True):
+                for r in rows:
+                    np.add.at(pair, r, values)
+        sums += np.ascontiguousarray(pairs.T).view(np.float32)
 
     return observed - _summed(encoded, expect)
 
 
-def train(encoded: DataFrame, bias: np.ndarray, updates: int) -> np.ndarray:
-    """The weights after distributed gradient updates over all training tokens."""
-    observed = observed_counts(encoded)
+def loss(encoded: DataFrame, weights: np.ndarray, bias: np.ndarray) -> float:
+    """The mean of -log P(class | history) over the tokens of all training texts of `encoded`."""
+    factors = _factors(weights, bias)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, total = 0, 0.0
+        for _, _, classes, features in _tokens(batches):
+            tokens, total = tokens + len(classes), total - float(_logs(factors, classes, features).sum())
+        yield pa.RecordBatch.from_arrays([pa.array([tokens]), pa.array([total])], names=["tokens", "total"])
+
+    sums = encoded.where("train").select("n_tokens", "classes", "hashes").mapInArrow(run, "tokens long, total double")
+    tokens, total = sums.agg(F.sum("tokens"), F.sum("total")).first()
+    return total / tokens if tokens else 0.0
+
+
+def divided(encoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The training texts that move the weights and those that judge them; too few to divide do both."""
+    texts = encoded.where("train")
+    if len(texts.select("judged").distinct().collect()) < 2:
+        return texts, texts
+    return texts.where("not judged"), texts.where("judged")
+
+
+def train(encoded: DataFrame, bias: np.ndarray, updates: int | None) -> np.ndarray:
+    """The weights after distributed gradient updates, as many as lower the loss of the judged texts."""
+    learnt, judged = divided(encoded)
+    observed = observed_counts(learnt)
     # From a model that knows no history the ratio of the counts tells the way; a template answers for its part.
     smooth = PRIOR * np.exp(bias)
     uniform = observed.sum(1, keepdims=True) * np.exp(bias)
-    weights = (STEP * np.log((observed + smooth) / (uniform + smooth))).astype(np.float32)
-    for _ in range(updates - 1):
-        step = gradient(encoded, weights, bias, observed)
-        weights += (STEP * step / (np.maximum(observed, observed - step) + PRIOR)).astype(np.float32)
+    most = np.maximum(observed, uniform)
+    weights = (STEP * np.log((observed + smooth) / (uniform + smooth)) * most / (most + PENALTY)).astype(np.float32)
+    best, made = loss(judged, weights, bias), 1
+    while updates is None or made < updates:
+        step = gradient(learnt, weights, bias, observed)
+        scale = np.maximum(observed, observed - step) + PRIOR + PENALTY
+        moved = np.clip(weights + STEP * (step - PENALTY * weights) / scale, -LARGEST, LARGEST).astype(np.float32)
+        reached, made = loss(judged, moved, bias), made + 1
+        enough = not reached < best * (1 - TOLERANCE)
+        if reached < best:
+            weights, best = moved, reached
+        if enough:
+            break
     return weights
 
 
@@ -280,7 +343,7 @@ def _packed(rows: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(rows[low : low + 2048].astype(np.int32)), pa.array(values, pa.binary())], names=["row", "sums"])
 
 
-def score_texts(docs: DataFrame, learnt: Column, updates: int = UPDATES) -> DataFrame:
+def score_texts(docs: DataFrame, learnt: Column, updates: int | None = UPDATES) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row of `docs`; `learnt` marks what the model learns from.
 
     Tokens are the words in lower-case ASCII letters and one end per text; a null or empty text is its end
@@ -291,14 +354,11 @@ def score_texts(docs: DataFrame, learnt: Column, updates: int = UPDATES) -> Data
     words = vocabulary(docs.where(learnt))
     encoded = staged(encode(docs, learnt, words).withColumn("row", F.monotonically_increasing_id()), "encoded")
     bias = np.log(words.prior()).astype(np.float32)
-    weights = train(encoded, bias, updates)
+    factors = _factors(train(encoded, bias, updates), bias)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, first, classes, features in _tokens(batches):
-            logs = np.zeros(len(classes))
-            for low in range(0, len(classes), CHUNK):
-                own, rows = classes[low : low + CHUNK], features[:, low : low + CHUNK]
-                logs[low : low + CHUNK] = np.log(_expected(weights, bias, rows)[np.arange(len(own)), own])
+            logs = _logs(factors, classes, features)
             yield pa.RecordBatch.from_arrays([block["row"], pa.array(np.add.reduceat(logs, first[:-1]))], names=["row", "outer"])
 
     outer = encoded.select("row", "n_tokens", "classes", "hashes").mapInArrow(run, "row long, outer double")

@@ -1,5 +1,6 @@
 """Licences against SQL, the language model against its definition, pages against known text, the pipeline stage by stage."""
 
+import itertools
 import math
 import random
 import zlib
@@ -7,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from aeromart.llm import licences, maxent, pages
@@ -105,6 +107,36 @@ def test_gradient_and_scores_by_a_plain_loop(spark, frame):
         assert scores[row["doc_id"]] == pytest.approx(total / math.log(10), rel=1e-4)
 
 
+def test_training_ends_when_judged_texts_gain_no_more(spark, frame, monkeypatch):
+    """Not after a fixed number of updates: a language of histories asks for several, one without any is not learnt by heart."""
+    import numpy as np
+
+    def trained(texts):
+        docs = frame(list(enumerate(texts)))
+        vocabulary = maxent.vocabulary(docs)
+        encoded = staged(maxent.encode(docs, F.lit(True), vocabulary), "test-training").coalesce(1).cache()
+        bias = np.log(vocabulary.prior()).astype(np.float32)
+        learnt, judged = maxent.divided(encoded)
+        assert learnt.count() + judged.count() == len(texts) and 0 < judged.count() < len(texts) / 4
+        losses, loss_of = [], maxent.loss
+        with monkeypatch.context() as patched:
+            patched.setattr(maxent, "loss", lambda *of: losses.append(loss_of(*of)) or losses[-1])
+            model = maxent.train(encoded, bias, None)
+        gains = [(a - b) / a for a, b in itertools.pairwise(losses)]
+        assert all(g >= maxent.TOLERANCE for g in gains[:-1]) and gains[-1] < maxent.TOLERANCE
+        assert maxent.loss(judged, model, bias) == pytest.approx(min(losses))
+        return losses, maxent.loss(judged, np.zeros_like(model), bias)
+
+    rng = random.Random(11)
+    found = [0, 1]
+    for _ in range(6000):
+        found.append((found[-2] + 2 * found[-1]) % 8 if rng.random() < 0.8 else rng.randrange(8))
+    losses, _ = trained([" ".join(f"w{w}" for w in found[k : k + 60]) for k in range(0, 6000, 60)])
+    assert len(losses) > 3 and min(losses) < 0.96 * losses[1]
+    losses, without = trained([" ".join(f"w{rng.randrange(24)}" for _ in range(40)) for _ in range(100)])
+    assert min(losses) < 1.02 * without
+
+
 PAGE = """<html><head><title>t</title></head><body><header><h1>Site</h1></header><nav>menu</nav><div class="cookie-notice">We use</div>
 <div id="content"><h1>T &amp; x</h1><p>One<br>two <b>bo</b>ld<p>Three<ul><li>a<li>b</ul><form>f</form><div class="comments"><p>c1</div></div>
 <aside>s</aside><footer>f</footer><script>var a="<p>no</p>"</script>"""
