@@ -23,20 +23,19 @@ Only frequent words (at most FREQUENT) are sent to the tasks. Counts of the othe
 the texts' own rare words by a shuffle.
 """
 
-import itertools
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from math import log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeromart.llm.staging import staged
-from aeromart.llm.words import blocks
+from aeromart.llm.words import blocks, per_row
 
 CLASSES, SINGLES = 64, 31
 FORMS = CLASSES - 1 - SINGLES
@@ -65,22 +64,34 @@ def form(word: bytes) -> int:
     return 1 + SINGLES + (zlib.crc32(core[-2:]) % (FORMS // 2)) * 2 + (len(core) < len(word))
 
 
+def _found(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of a block of texts in a row, in lower-case ASCII letters and numbered, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    parts = lists.flatten()
+    real = pc.not_equal(parts, "")  # white space at an end of a text leaves an empty part
+    first = np.concatenate(([0], np.cumsum(pc.list_value_length(lists).to_numpy())))
+    return parts.filter(real).dictionary_encode(), per_row(first, real.to_numpy(zero_copy_only=False))
+
+
+def _added(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over all texts, added up in the tasks first."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def told() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held], pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-
+        held: list[pa.Table] = []
         for block in blocks(batches, "text"):
-            for text in block["text"].to_pylist():
-                held.update((text or "").encode().lower().split())
-            if len(held) > HELD_WORDS:
-                yield told()
-                held.clear()
-        yield told()
+            found, _ = _found(block["text"])
+            times = np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary))
+            held.append(pa.table({"word": found.dictionary, "n": times}))
+            if sum(t.num_rows for t in held) > 2 * HELD_WORDS:
+                held = [_added(held)]
+                if held[0].num_rows > HELD_WORDS:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from _added(held).to_batches()
 
     return texts.select("text").mapInArrow(run, _COUNTS).groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -91,7 +102,7 @@ class Vocabulary:
     total: int  # tokens, ends included
     distinct: int
     ends: int
-    frequent: dict[bytes, int]  # word -> place
+    frequent: pa.Array  # by place: word
     numbers: np.ndarray  # by place: count
     classes: np.ndarray  # by place
     inside: np.ndarray  # by class: tokens
@@ -115,7 +126,8 @@ def vocabulary(texts: DataFrame) -> Vocabulary:
     counts = staged(count_words(texts), "words")
     ends = texts.count()
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
-    listed = [w.encode() for w in top["word"].to_pylist()]
+    frequent = pa.concat_arrays([pa.array([], pa.string()), *(c.cast(pa.string()) for c in top["word"].chunks)])
+    listed = frequent.cast(pa.binary()).to_pylist()
     singles = set(listed[:SINGLES])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +149,7 @@ def vocabulary(texts: DataFrame) -> Vocabulary:
     inside[1 : 1 + min(SINGLES, len(numbers))] = numbers[:SINGLES]
     own = np.array([k + 1 if k < SINGLES else form(w) for k, w in enumerate(listed)], np.uint8)
     distinct = int(words.sum()) + min(SINGLES, len(listed)) + (ends > 0)
-    return Vocabulary(counts, int(inside.sum()), distinct, ends, {w: k for k, w in enumerate(listed)}, numbers, own, inside, once)
+    return Vocabulary(counts, int(inside.sum()), distinct, ends, frequent, numbers, own, inside, once)
 
 
 def encode(docs: DataFrame, learnt: Column, words: Vocabulary) -> DataFrame:
@@ -146,29 +158,48 @@ def encode(docs: DataFrame, learnt: Column, words: Vocabulary) -> DataFrame:
     base, end_base = words.base(numbers), float(words.base(np.array([words.ends]))[0])
     unseen, inside = words.unseen(), words.inside
     shares = np.log((1 - unseen[own]) * numbers / np.maximum(inside[own], 1)) if len(numbers) else np.zeros(0)
-    spread = np.array([zlib.crc32(w) & 0xFFFF for w in frequent], np.uint16)
+    spread = np.array([zlib.crc32(w) & 0xFFFF for w in frequent.cast(pa.binary()).to_pylist()], np.uint16)
     ends_known = int(words.ends > 0)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            rows: list[tuple] = []
-            for text in block["text"].to_pylist():
-                found = (text or "").encode().lower().split()
-                places = np.fromiter(map(frequent.get, found, itertools.repeat(-1)), np.int64, len(found))
-                known = places >= 0
-                classes, hashes = np.zeros(len(found) + 1, np.uint8), np.zeros(len(found) + 1, np.uint16)
-                classes[:-1][known], hashes[:-1][known] = own[places[known]], spread[places[known]]
-                rare = [found[i] for i in np.flatnonzero(~known).tolist()]
-                forms = [form(w) for w in rare]
-                classes[:-1][~known] = forms
-                hashes[:-1][~known] = [zlib.crc32(w) & 0xFFFF for w in rare]
-                held = [{"word": w.decode(), "form": f, "n": n} for (w, f), n in Counter(zip(rare, forms, strict=True)).items()]
-                p = places[known]
-                drawn = zlib.crc32(hashes.tobytes(), zlib.crc32(classes.tobytes())) % JUDGED == 0
-                rows.append((drawn, len(found) + 1, len(p) + ends_known, float(base[p].sum()) + end_base, float(shares[p].sum()), classes.tobytes(), hashes.tobytes(), held))
-            kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.struct([("word", pa.string()), ("form", pa.int32()), ("n", pa.int32())])))
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([block["doc_id"], block["train"], *columns], names=["doc_id", "train", "judged", "n_tokens", "n_frequent", "base", "inner", "classes", "hashes", "rare"])
+            found, lengths = _found(block["text"])
+            # By number of a distinct word: its place, or -1, and what follows from it.
+            places = pc.fill_null(pc.index_in(found.dictionary, value_set=frequent.cast(found.dictionary.type)), -1).to_numpy()
+            known = places >= 0
+            classes, hashes = np.zeros(len(places), np.uint8), np.zeros(len(places), np.uint16)
+            bases, inners = np.zeros(len(places)), np.zeros(len(places))
+            for values, by_place in ((classes, own), (hashes, spread), (bases, base), (inners, shares)):
+                values[known] = by_place[places[known]]
+            rare = found.dictionary.filter(pa.array(~known)).cast(pa.binary()).to_pylist()
+            classes[~known], hashes[~known] = [form(w) for w in rare], [zlib.crc32(w) & 0xFFFF for w in rare]
+
+            ids, rows = found.indices.to_numpy(), len(lengths)
+            text = np.repeat(np.arange(rows), lengths)
+            sums = lambda by_word: np.bincount(text, by_word[ids], rows).astype(np.float64)  # noqa: B023, E731
+            bounds = np.concatenate(([0], np.cumsum(lengths + 1)))
+            tokens = []
+            for values in (classes, hashes):
+                packed = np.zeros(bounds[-1], values.dtype)
+                packed[np.arange(len(ids)) + text] = values[ids]  # an end, 0, stands after each text
+                starts = pa.py_buffer((bounds * values.itemsize).astype(np.int32))
+                tokens.append(pa.Array.from_buffers(pa.binary(), rows, [None, starts, pa.py_buffer(packed)]))
+            drawn = [zlib.crc32(h.as_buffer(), zlib.crc32(c.as_buffer())) % JUDGED == 0 for c, h in zip(*tokens, strict=True)]
+
+            seen = ~known[ids]
+            pairs, times = np.unique(text[seen] * len(places) + ids[seen], return_counts=True)
+            word = pairs % max(len(places), 1)
+            offsets = np.searchsorted(pairs, np.arange(rows + 1) * len(places)).astype(np.int32)
+            held = pa.StructArray.from_arrays(
+                [found.dictionary.take(pa.array(word)).cast(pa.string()), pa.array(classes[word].astype(np.int32)), pa.array(times.astype(np.int32))], ["word", "form", "n"]
+            )
+            columns = {
+                "doc_id": block["doc_id"], "train": block["train"], "judged": pa.array(drawn, pa.bool_()),
+                "n_tokens": lengths + 1, "n_frequent": sums(known).astype(np.int64) + ends_known,
+                "base": sums(bases) + end_base, "inner": sums(inners),
+                "classes": tokens[0], "hashes": tokens[1], "rare": pa.ListArray.from_arrays(pa.array(offsets), held),
+            }
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], names=list(columns))
 
     return docs.select("doc_id", "text", F.coalesce(learnt, F.lit(False)).alias("train")).mapInArrow(run, _ENCODED)
 

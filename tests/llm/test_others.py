@@ -107,6 +107,32 @@ def test_gradient_and_scores_by_a_plain_loop(spark, frame):
         assert scores[row["doc_id"]] == pytest.approx(total / math.log(10), rel=1e-4)
 
 
+def test_words_are_counted_and_encoded_as_defined(spark, frame, monkeypatch):
+    """Every kind of white space, empty parts, letters that only Unicode lowers."""
+    import numpy as np
+
+    monkeypatch.setattr(maxent, "FREQUENT", 40)
+    texts = ["", None, " \n", "\x0b\x0cThe\r\tb\n", "É é À x\x1cy\x85z", "x\x00y X\x00Y x", "İ I ſ \u2003 w", "q" * 3000 + " w. (W) w.. ''"]
+    texts += [" ".join(f"w{(k * 7 + j * j) % 90}" for j in range(k)) for k in range(40)]
+    docs = frame(list(enumerate(texts)))
+    found = [(t or "").encode().lower().split() for t in texts]
+    counts = Counter(w for words in found for w in words)
+    vocabulary = maxent.vocabulary(docs)
+    assert {r["word"].encode(): r["n"] for r in vocabulary.counts.collect()} == counts
+    listed = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:40]]
+    own = {w: k + 1 if k < maxent.SINGLES else maxent.form(w) for k, w in enumerate(listed)}
+    base = dict(zip(listed, vocabulary.base(np.array([counts[w] for w in listed])).tolist(), strict=True))
+    rows = {r["doc_id"]: r for r in maxent.encode(docs, F.col("doc_id") % 2 == 0, vocabulary).collect()}
+    assert len(rows) == len(texts)
+    for i, words in enumerate(found):
+        row = rows[i]
+        assert list(row["classes"]) == [own.get(w, maxent.form(w)) for w in words] + [0]
+        assert np.frombuffer(row["hashes"], np.uint16).tolist() == [zlib.crc32(w) & 0xFFFF for w in words] + [0]
+        assert (row["train"], row["n_tokens"], row["n_frequent"]) == (i % 2 == 0, len(words) + 1, sum(w in own for w in words) + 1)
+        assert {(r["word"].encode(), r["form"]): r["n"] for r in row["rare"]} == Counter((w, maxent.form(w)) for w in words if w not in own)
+        assert row["base"] == pytest.approx(sum(base[w] for w in words if w in own) + vocabulary.base(np.array([len(texts)]))[0])
+
+
 def test_training_ends_when_judged_texts_gain_no_more(spark, frame, monkeypatch):
     """Not after a fixed number of updates: a language of histories asks for several, one without any is not learnt by heart."""
     import numpy as np
