@@ -12,8 +12,8 @@ form class add up to 1.
 
 Training. The vocabulary is counted over all training texts. Then all texts are encoded once:
 class and word hash per token, as packed bytes. Every update is one pass over all training tokens: tasks
-add up, per feature row and class, how often the class came less how often the model expected it;
-the sums meet by feature row in a shuffle; and the driver, which holds only the weights (of fixed size), moves
+add up, per feature row and class, how often the class came less how often the model expected it,
+which is found once for equal histories; the sums meet by feature row in a shuffle; and the driver, which holds only the weights (of fixed size), moves
 every weight along this gradient less PENALTY times the weight (a Gaussian prior), scaled by the larger of the two. In the
 first update the model is the same for all histories, so that counts suffice; they are kept for the scaling.
 One training text in JUDGED, drawn by its content, is kept out of these sums. Updates go on until one lowers the
@@ -48,7 +48,9 @@ JUDGED, TOLERANCE = 16, 1e-3
 #: Weights stay within this, so that no product of their exponentials leaves the range of a float32.
 LARGEST = 12.0
 #: Tokens per numpy step: few enough for their class scores to stay in the processor's cache; and per step that adds them up.
-CHUNK, SPREAD = 4096, 16384
+CHUNK, SPREAD = 512, 16384
+#: Tokens whose histories are put in order and counted at once.
+HISTORIES = 1 << 20
 #: Tokens whose features are held at once.
 HELD_TOKENS = 1 << 18
 #: Distinct words a task counts before it passes them on.
@@ -210,23 +212,25 @@ def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
         classes = np.frombuffer(b"".join(block["classes"].to_pylist()), np.uint8)
         hashes = np.frombuffer(b"".join(block["hashes"].to_pylist()), np.uint16)
         first = np.concatenate(([0], np.cumsum(block["n_tokens"].to_numpy())))
-        back = []
-        for values in (classes, hashes):
-            own = []
-            for k in (1, 2, 3):
-                moved = np.zeros(len(values), np.int64)
-                moved[k:] = values[:-k]
-                for j in range(k):  # before the first word stands an end
-                    at = first[:-1] + j
-                    moved[at[at < first[1:]]] = 0
-                own.append(moved)
-            back.append(own)
-        (c1, c2, c3), (h1, h2, _) = back
-        features = np.stack([h1 % ROWS, ROWS + c2 * CLASSES + c1, 2 * ROWS + (h2 * 2654435761 >> 7) % ROWS, 3 * ROWS + c3 * CLASSES + c1])
-        yield block, first, classes.astype(np.int64), features
+        # Three ends, 0, stand before the first text. The end of a text stands before the next one; what is further back counts as ends too.
+        c, h = np.zeros(len(classes) + 3, np.int64), np.zeros(len(hashes) + 3, np.int64)
+        c[3:], h[3:] = classes, hashes
+        c1, h1, h2 = c[2:-1], h[2:-1], h[1:-2]
+        features = np.empty((TEMPLATES, len(classes)), np.int64)
+        features[0] = h1 % ROWS
+        features[2] = (h2 * 2654435761 >> 7) % ROWS
+        features[2, first[:-1]] = 0
+        for template, back in ((1, 2), (3, 3)):
+            own = np.multiply(c[3 - back : -back], CLASSES, out=features[template])
+            for k in range(back - 1):
+                own[first[:-1][first[:-1] + k < len(own)] + k] = 0
+            own += c1
+        features += np.arange(0, TEMPLATES * ROWS, ROWS)[:, None]
+        yield block, first, c[3:], features
 
 
 TEMPLATES = 4
+_held: dict[str, np.ndarray] = {}
 
 
 def _factors(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -236,42 +240,89 @@ def _factors(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     return factors
 
 
-def _shares(factors: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """P(class | history) of each token."""
-    shares = np.take(factors, features[0], axis=0)
+def _buffer(name: str, rows: int) -> np.ndarray:
+    """Memory for rows of class values that a task writes anew in every step; new arrays would cost it more than the sums themselves."""
+    if len(_held.get(name, ())) < rows:
+        _held[name] = np.empty((max(rows, CHUNK), CLASSES), np.float32)
+    return _held[name][:rows]
+
+
+def _product(factors: np.ndarray, features: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """The factors of the features of each token, multiplied."""
+    np.take(factors, features[0], axis=0, out=out, mode="clip")  # clip: all rows exist, and take writes to `out` without a copy
+    other = _buffer("other", len(out))
     for rows in features[1:]:
-        shares *= np.take(factors, rows, axis=0)
-    shares *= 1 / shares.sum(1, keepdims=True)
-    return shares
+        out *= np.take(factors, rows, axis=0, out=other, mode="clip")
+    return out
 
 
 def _expected(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    return _shares(_factors(weights, bias), features)
+    """P(class | history) of each token."""
+    shares = _product(_factors(weights, bias), features, np.empty((features.shape[1], CLASSES), np.float32))
+    return shares / shares.sum(1, keepdims=True)
 
 
 def _logs(factors: np.ndarray, classes: np.ndarray, features: np.ndarray) -> np.ndarray:
     """log P(class | history) of each token's own class."""
     logs = np.zeros(len(classes))
     for low in range(0, len(classes), CHUNK):
-        own = classes[low : low + CHUNK]
-        logs[low : low + CHUNK] = np.log(_shares(factors, features[:, low : low + CHUNK])[np.arange(len(own)), own])
+        rows, own = features[:, low : low + CHUNK], classes[low : low + CHUNK]
+        first, last = _product(factors, rows[:-1], _buffer("first", len(own))), np.take(factors, rows[-1], axis=0, out=_buffer("other", len(own)), mode="clip")
+        at = np.arange(len(own))
+        logs[low : low + CHUNK] = np.log(first[at, own] * last[at, own] / np.einsum("ij,ij->i", first, last))
     return logs
 
 
-def _gathered(sums_of: Callable) -> Callable:
+def _histories(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(distinct histories, how often each came) of HISTORIES tokens at a time.
+
+    A history is one number, from high to low: the classes two, one and three words back, and the hashed last word and word
+    before the last. In order, neighbours share most of their rows.
+    """
+
+    def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys.sort()
+        heads = _heads(keys)
+        return keys[heads], np.diff(np.append(heads, len(keys)))
+
+    held, filled = np.empty(HISTORIES, np.int64), 0
+    for _, _, _, features in _tokens(batches):
+        last, two, skipped, far = features - np.arange(0, TEMPLATES * ROWS, ROWS)[:, None]
+        keys = ((two * CLASSES + far // CLASSES) * ROWS + last) * ROWS + skipped
+        while len(keys):
+            part, keys = np.split(keys, [HISTORIES - filled])
+            held[filled : filled + len(part)] = part
+            filled += len(part)
+            if filled == HISTORIES:
+                yield counted(held)
+                filled = 0
+    if filled:
+        yield counted(held[:filled])
+
+
+def _heads(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+
+
+def _with_classes(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    return ((classes, features) for _, _, classes, features in _tokens(batches))
+
+
+def _gathered(parts_of: Callable, sums_of: Callable) -> Callable:
     """A mapInArrow function: sums by (feature row, class) over the tokens of a partition, as one packed row per feature row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((TEMPLATES * ROWS, CLASSES))
-        for _, _, classes, features in _tokens(batches):
-            sums_of(sums, classes, features)
+        for part in parts_of(batches):
+            sums_of(sums, *part)
         rows = np.flatnonzero(sums.any(1))
         yield from _packed(rows, sums[rows])
 
     return run
 
 
-def _summed(encoded: DataFrame, sums_of: Callable) -> np.ndarray:
+def _summed(encoded: DataFrame, parts_of: Callable, sums_of: Callable) -> np.ndarray:
     """The sums over all training tokens. Partial sums meet by feature row; the result has a fixed size."""
 
     def met(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +335,7 @@ def _summed(encoded: DataFrame, sums_of: Callable) -> np.ndarray:
             yield from _packed(np.array(list(sums)), np.stack(list(sums.values())))
 
     kind = "row int, sums binary"
-    parts = encoded.where("train").select("n_tokens", "classes", "hashes").mapInArrow(_gathered(sums_of), kind)
+    parts = encoded.where("train").select("n_tokens", "classes", "hashes").mapInArrow(_gathered(parts_of, sums_of), kind)
     total = parts.repartition("row").mapInArrow(met, kind).toArrow()  # one row per feature row
     out = np.zeros((TEMPLATES * ROWS, CLASSES))
     if total.num_rows:
@@ -300,7 +351,7 @@ def observed_counts(encoded: DataFrame) -> np.ndarray:
             own = np.bincount((rows - template * ROWS) * CLASSES + classes, minlength=ROWS * CLASSES)
             sums[template * ROWS : (template + 1) * ROWS] += own.reshape(ROWS, CLASSES)
 
-    return _summed(encoded, count)
+    return _summed(encoded, _with_classes, count)
 
 
 def gradient(encoded: DataFrame, weights: np.ndarray, bias: np.ndarray, observed: np.ndarray) -> np.ndarray:
@@ -308,18 +359,32 @@ def gradient(encoded: DataFrame, weights: np.ndarray, bias: np.ndarray, observed
 
     factors = _factors(weights, bias)
 
-    def expect(sums: np.ndarray, classes: np.ndarray, features: np.ndarray) -> None:
+    def expect(sums: np.ndarray, histories: np.ndarray, times: np.ndarray) -> None:
         # Two neighbouring classes are one complex number: half as many additions by index.
         pairs = np.zeros((CLASSES // 2, TEMPLATES * ROWS), np.complex64)
-        for low in range(0, len(classes), SPREAD):
-            rows = features[:, low : low + SPREAD]
-            shares = np.concatenate([_shares(factors, rows[:, k : k + CHUNK]) for k in range(0, rows.shape[1], CHUNK)])
-            for pair, values in zip(pairs, np.ascontiguousarray(shares.view(np.complex64).T), strict=True):
-                for r in rows:
-                    np.add.at(pair, r, values)
+        shares = np.empty((CLASSES // 2, SPREAD), np.complex64)
+        for low in range(0, len(histories), SPREAD):
+            keys, n = histories[low : low + SPREAD], times[low : low + SPREAD].astype(np.float32)
+            last, skipped, behind = keys // ROWS % ROWS, 2 * ROWS + keys % ROWS, keys // ROWS**2
+            # Histories with the same three classes stand together; their factors are multiplied and their sums added once.
+            heads = _heads(behind)
+            group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(keys))))
+            two, far = np.divmod(behind[heads], CLASSES)
+            two, far = ROWS + two, 3 * ROWS + far * CLASSES + two % CLASSES
+            both = factors[two] * factors[far]
+            for k in range(0, len(keys), CHUNK):
+                at = slice(k, min(k + CHUNK, len(keys)))
+                part = _product(factors, (last[at], skipped[at]), _buffer("first", at.stop - k))
+                part *= np.take(both, group[at], axis=0, out=_buffer("other", len(part)), mode="clip")
+                part *= (n[at] / np.einsum("ij->i", part))[:, None]
+                shares[:, at] = part.view(np.complex64).T
+            own = shares[:, : len(keys)]
+            for pair, values, added in zip(pairs, own, np.add.reduceat(own, heads, axis=1), strict=True):
+                for rows, by_row in ((last, values), (skipped, values), (two, added), (far, added)):
+                    np.add.at(pair, rows, by_row)
         sums += np.ascontiguousarray(pairs.T).view(np.float32)
 
-    return observed - _summed(encoded, expect)
+    return observed - _summed(encoded, _histories, expect)
 
 
 def loss(encoded: DataFrame, weights: np.ndarray, bias: np.ndarray) -> float:

@@ -107,6 +107,41 @@ def test_gradient_and_scores_by_a_plain_loop(spark, frame):
         assert scores[row["doc_id"]] == pytest.approx(total / math.log(10), rel=1e-4)
 
 
+def test_gradient_meets_each_history_once(monkeypatch):
+    """Copies of a text cost a gradient pass nothing but their count; stretches, steps and texts of one token change no sum."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    lengths = [1, 2, 3, 1, 1, 40, 75, 5]
+    texts = [(rng.integers(1, maxent.CLASSES, n).astype(np.uint8), rng.integers(0, 1 << 16, n).astype(np.uint16)) for n in lengths]
+    for values in itertools.chain(*texts):
+        values[-1] = 0
+    column = lambda k: pa.array([t[k].tobytes() for t in texts * 30], pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array(lengths * 30), column(0), column(1)], names=["n_tokens", "classes", "hashes"])
+    weights = rng.normal(0, 0.5, (maxent.TEMPLATES * maxent.ROWS, maxent.CLASSES)).astype(np.float32)
+    bias = rng.normal(size=maxent.CLASSES).astype(np.float32)
+    ((_, _, _, features),) = maxent._tokens([batch])
+    wanted = np.zeros(weights.shape)
+    for rows in features:
+        np.add.at(wanted, rows, maxent._expected(weights, bias, features).astype(float))
+
+    def summed(encoded, parts_of, sums_of):
+        sums = np.zeros(weights.shape)
+        for part in parts_of([encoded]):
+            sums_of(sums, *part)
+        return sums
+
+    met, product = [], maxent._product
+    monkeypatch.setattr(maxent, "_summed", summed)
+    monkeypatch.setattr(maxent, "_product", lambda factors, rows, out: met.append(len(out)) or product(factors, rows, out))
+    assert np.allclose(-maxent.gradient(batch, weights, bias, np.zeros(weights.shape)), wanted, atol=1e-3)
+    assert sum(met) == len({tuple(x) for x in features.T.tolist()}) <= sum(lengths)
+    for name, value in (("HISTORIES", 700), ("SPREAD", 32), ("CHUNK", 10)):
+        monkeypatch.setattr(maxent, name, value)
+    assert np.allclose(-maxent.gradient(batch, weights, bias, np.zeros(weights.shape)), wanted, atol=1e-3)
+
+
 def test_words_are_counted_and_encoded_as_defined(spark, frame, monkeypatch):
     """Every kind of white space, empty parts, letters that only Unicode lowers."""
     import numpy as np
