@@ -50,7 +50,7 @@ LARGEST = 12.0
 #: Tokens per numpy step: few enough for their class scores to stay in the processor's cache; and per step that adds them up.
 CHUNK, SPREAD = 512, 16384
 #: Tokens whose histories are put in order and counted at once.
-HISTORIES = 1 << 20
+HISTORIES = 1 << 19
 #: Tokens whose features are held at once.
 HELD_TOKENS = 1 << 18
 #: Distinct words a task counts before it passes them on.
@@ -287,8 +287,10 @@ def _histories(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
 
     held, filled = np.empty(HISTORIES, np.int64), 0
     for _, _, _, features in _tokens(batches):
-        last, two, skipped, far = features - np.arange(0, TEMPLATES * ROWS, ROWS)[:, None]
-        keys = ((two * CLASSES + far // CLASSES) * ROWS + last) * ROWS + skipped
+        last, two, skipped, far = features
+        keys = ((two - ROWS) * CLASSES + far // CLASSES - 3 * ROWS // CLASSES) * ROWS**2
+        keys += last * ROWS
+        keys += skipped - 2 * ROWS
         while len(keys):
             part, keys = np.split(keys, [HISTORIES - filled])
             held[filled : filled + len(part)] = part
